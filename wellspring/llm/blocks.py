@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = 8 << 20
 #: Keys of all blocks that one task adds up at a time, about.
 KEYS_PER_BUCKET = 1_500_000
 _HEAD = struct.Struct("<cBBQQ")
@@ -161,10 +161,10 @@ Asked = tuple[np.ndarray, np.ndarray]  # rising distinct keys, and a weight of e
 def question(scale: Scale, keys: np.ndarray, weights: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(bucket, payload) rows for rising distinct 64-bit keys with weights."""
     cut = scale.cut(keys)
-    ends = [0, *np.searchsorted(cut, scale.bounds()).tolist(), len(cut)]
-    for b in range(scale.buckets):
-        if ends[b + 1] > ends[b]:
-            yield b, pack(cut[ends[b] : ends[b + 1]], weights[ends[b] : ends[b + 1]], rising=True)
+    ends = np.concatenate([[0], np.searchsorted(cut, scale.bounds()), [len(cut)]])
+    for b in np.flatnonzero(np.diff(ends)).tolist():
+        own = slice(int(ends[b]), int(ends[b + 1]))
+        yield b, pack(cut[own], weights[own], rising=True)
 
 
 ASKED = "bucket int, block long, payload binary"

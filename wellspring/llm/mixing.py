@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 #: The dynamic programme fits this many of a source's longest documents; what is left of the budget is never larger.
 LONGEST = 3
 
@@ -113,6 +115,8 @@ def mix(df: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
     rows = df.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("source"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
     # A text key stands for the null source; other sources are marked so that none equals it.
     rows = rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")))
+    if not carry:
+        rows = stored(rows.drop("carried"), "lengths")  # texts are read once
     by_length = rows.groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n"))
     sizes = by_length.groupBy("source", "key").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     goal = targets(sizes, weights, share, most).select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("key"), "source_size", "target")

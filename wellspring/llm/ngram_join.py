@@ -7,7 +7,8 @@ set they are held against: a walk carries the overlap of shared prefixes on, and
 left cannot reach the required overlap.
 
 Only classes are asked for, so candidates that are known to be in one class already are not compared again. First every
-set is held against one leader of each of its n-grams; what these links leave undecided is then compared in full.
+set is held against one set that leads some of its n-grams, then against the leaders that are still in other classes;
+what these links leave undecided is compared in full.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .shared import connected_components, stored
+from .shared import connected_components, merge_components, release, stored
 
 #: Sets verified against one other in a task, about.
 GROUP = 2000
@@ -144,16 +145,17 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
         return pa.table({"kind": pa.array(kind, pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "c": pa.array(c, pa.int32()), "d": pa.array(d, pa.int32()), "payload": pa.array([x for p in parts for x in p[5]], pa.binary())})
 
     rows = stored(B.tell(table, [frequency], prefixes, _ROWS), "prefixes")
+    release(docs.sparkSession)
     members = rows.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("set_id"), F.col("c").alias("size"))
     sets = rows.where("kind = 2").groupBy(F.col("b").alias("set_id")).agg(F.first("payload").alias("payload"))
     entries = rows.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("set_id"), F.col("c").alias("size"), F.col("d").alias("place")).distinct()
 
-    links = _links(entries, sets, percent)
-    # Classes of documents: a set stands for its smallest document.
+    root = _classes(entries, sets, percent)
+    # A set stands for its smallest document, and a class of sets for the smallest of those.
     least = members.where("size > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    pair = links.join(least.select(F.col("set_id").alias("a"), F.col("least").alias("u")), "a").join(least.select(F.col("set_id").alias("b"), F.col("least").alias("v")), "b")
-    root = connected_components(pair, "u", "v")
-    own = members.join(least.join(root, least["least"] == root["node"], "left").select("set_id", F.coalesce("component", "least").alias("root")), "set_id", "left")
+    of = least.join(root, least["set_id"] == root["node"], "left").select("set_id", "least", F.coalesce("component", "set_id").alias("class"))
+    of = of.join(of.groupBy("class").agg(F.min("least").alias("root")), "class").select("set_id", "root")
+    own = members.join(of, "set_id", "left")
     out = own.select("doc_id", F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))
     nameless = docs.where(F.col(id_col).isNull()).select(F.col(text_col).cast("binary").alias("text"))
 
@@ -173,17 +175,22 @@ def _positional(percent: int) -> Column:
     return left * (100 + percent) >= percent * (F.col("x.size") + F.col("y.size"))
 
 
-def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): verified links that connect every class of sets."""
+def _classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component): classes of linked sets; sets without a link are absent."""
     both = [F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")]
     # A shingle's leader is its smallest set. A shingle may lead very many sets: the minimum is taken before the
     # shuffle and the join is split by adaptive execution.
     lead = entries.groupBy("token").agg(F.min(F.struct("set_id", "size", "place")).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "l.*")
     met = entries.alias("y").join(lead.alias("x"), "token").where((F.col("x.set_id") != F.col("y.set_id")) & _positional(percent))
-    first = stored(met.select(*both).distinct(), "pairs")
-    checked = stored(_verify(first, sets, percent), "links")
-    linked = checked.where("linked")
-    root = connected_components(linked, "a", "b")
+    met = stored(met.select(*both).distinct(), "pairs")
+    # Each set first meets the smallest of its leaders alone: of a large class little is open after that.
+    checked = stored(_verify(met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, percent), "links")
+    root = stored(connected_components(checked.where("linked"), "a", "b"), "classes")
+    a_root, b_root = (root.select(F.col("node").alias(c), F.col("component").alias(f"{c}_root")) for c in "ab")
+    still = met.join(a_root, "a", "left").join(b_root, "b", "left").where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    more = stored(_verify(stored(still.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs"), sets, percent), "links")
+    checked = checked.unionByName(more)
+    root = stored(merge_components(root, more.where("linked"), "a", "b"), "classes")
     of = entries.join(root, entries["set_id"] == root["node"], "left").select("token", "set_id", "size", "place", F.coalesce("component", "set_id").alias("root"))
     of = stored(of, "entries")
     # Shingles of more than one class: sets outside the shingle's largest class are compared with all others of it.
@@ -191,10 +198,10 @@ def _links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     mixed = per.groupBy("token").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", F.col("most.root").alias("main"))
     rest = of.join(mixed, "token")
     minor = rest.where("root <> main")
-    met = minor.alias("x").join(rest.alias("y"), "token").where((F.col("x.root") != F.col("y.root")) & _positional(percent))
-    second = met.select(*both).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verify(stored(second, "pairs"), sets, percent)
-    return stored(linked.select("a", "b").unionByName(more.where("linked").select("a", "b")), "links")
+    cross = minor.alias("x").join(rest.alias("y"), "token").where((F.col("x.root") != F.col("y.root")) & _positional(percent))
+    last = cross.select(*both).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    more = stored(_verify(stored(last, "pairs"), sets, percent), "links")
+    return stored(merge_components(root, more.where("linked"), "a", "b"), "classes")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

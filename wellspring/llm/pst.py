@@ -12,6 +12,7 @@ questions reaches them, so no table of the vocabulary exists in one place.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .mixing import word_count
 from .ngram_join import word_hash
-from .shared import stored
+from .shared import release, stored
 
 #: Occurrences that a context needs, the bound of the divergence test (nats), and the weight of the parent's distribution.
 @dataclass(frozen=True)
@@ -79,64 +80,73 @@ class _Tokens:
 
 
 class _Level:
-    """The contexts of ``depth`` words: which tokens have one, the distinct (context, word) keys and what is known of them."""
+    """The contexts of some words' length: which tokens have one, and the distinct (context, word) keys."""
 
-    def __init__(self, tokens: _Tokens, at: np.ndarray, context: np.ndarray, occurrences: np.ndarray):
-        """``at``: tokens in such a context; ``context``: its hash; ``occurrences``: its count over the corpus."""
-        self.at = at
-        gram = join_hash(context, tokens.vocabulary[tokens.token[at]])
-        self.keys, self.of = np.unique(gram, return_inverse=True)
-        self.contexts, self.state = np.unique(context, return_inverse=True)
-        self.occurrences = occurrences
-        self.learnt = tokens.learnt[at]
+    def __init__(self, tokens: _Tokens, at: np.ndarray, context: np.ndarray):
+        """``at``: tokens in such a context; ``context``: its hash."""
+        self.at, self.context, self.learnt = at, context, tokens.learnt[at]
+        self.keys, self.of = np.unique(join_hash(context, tokens.vocabulary[tokens.token[at]]), return_inverse=True)
+        self.occurrences = self.count = self.parent = np.zeros(0)
 
     def asked(self) -> B.Asked:
         return self.keys, np.bincount(self.of[self.learnt], minlength=len(self.keys)).astype(np.uint32)
 
-    def gains(self, count: np.ndarray, parent: np.ndarray, prior: float) -> B.Asked:
-        """Divergence sums of the block's contexts; ``count``: of each token's key, ``parent``: its probability there."""
-        c, n, p = count[self.learnt] - 1.0, self.occurrences[self.learnt] - 1.0, parent[self.learnt]
-        ratio = np.log((c + prior * p) / ((n + prior) * p))
-        return self.contexts, np.bincount(self.state[self.learnt], ratio, len(self.contexts))
+    def often(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the level in contexts seen often enough, those contexts, and each such token's."""
+        at = np.flatnonzero(self.occurrences >= least)
+        return at, *np.unique(self.context[at], return_inverse=True)
 
+    def gains(self, tests: Tests) -> B.Asked:
+        """Divergence sums of the block's contexts: each learnt occurrence is left out of its own counts."""
+        at, contexts, state = self.often(tests.least)
+        at, state = at[self.learnt[at]], state[self.learnt[at]]
+        c, n, p = self.count[at] - 1.0, self.occurrences[at] - 1.0, self.parent[at]
+        return contexts, np.bincount(state, np.log((c + tests.prior * p) / ((n + tests.prior) * p)), len(contexts))
 
-def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: int, tests: Tests) -> tuple[list[_Level], np.ndarray, np.ndarray, list]:
-    """What the answers so far tell: levels that can be formed, word counts, probabilities in the longest known states,
-    and the pending level's counts. Questions: 0 words; 2k-1 counts and 2k divergence sums of the contexts of k words."""
-    total, distinct = stats
+
+def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: int, tests: Tests) -> tuple[list[_Level], np.ndarray, np.ndarray]:
+    """The levels that can be formed, word counts, and each token's probability in its longest known state.
+
+    Questions: 0 the counts of words, 2k-1 and 2k counts and divergence sums of the contexts of k words. All pairs are
+    counted; of longer contexts only those that are seen often enough.
+    """
     have = set(answers.column("question").to_pylist())
-    count = B.told(answers, 0).astype(np.float64) if 0 in have else np.zeros(len(t.vocabulary))
-    prob = (count[t.token] + 0.1) / (total + 0.1 * (distinct + 1))
-    levels, pending = [], None
-    context, occurrences = None, None
+    count = B.told(answers, 0).astype(np.float64)
+    prob = (count[t.token] + 0.1) / (stats[0] + 0.1 * (stats[1] + 1))
+    levels: list[_Level] = []
     for k in range(1, depth + 1):
-        inside = np.flatnonzero(t.place >= k)
         if k == 1:
-            often = count[t.token[inside - 1]]
-            ctx = t.vocabulary[t.token[inside - 1]]
+            level = pairs(t)
+            level.occurrences = count[t.token[level.at - 1]]
         else:
             # The context of k words ends a gram of the level below, whose count is the context's.
             of = np.full(len(t.token), -1)
             of[levels[-1].at] = np.arange(len(levels[-1].at))
-            before = of[inside - 1]
-            inside, before = inside[before >= 0], before[before >= 0]
-            often, ctx = context[before], levels[-1].keys[levels[-1].of[before]]
-        keep = often >= tests.least
-        level = _Level(t, inside[keep], ctx[keep], often[keep])
+            at = np.flatnonzero(t.place >= k)
+            before = of[at - 1]
+            keep = (before >= 0) & (levels[-1].count[before] >= tests.least)
+            level = _Level(t, at[keep], levels[-1].keys[levels[-1].of[before[keep]]])
+            level.occurrences = levels[-1].count[before[keep]]
         levels.append(level)
         if 2 * k - 1 not in have:
             break
-        context = B.told(answers, 2 * k - 1).astype(np.float64)[level.of] if len(level.keys) else np.zeros(0)
-        parent = prob[level.at]
-        pending = (level, context, parent)
-        if 2 * k not in have:
-            continue
-        gain = B.told(answers, 2 * k) if len(level.contexts) else np.zeros(0)
-        state = gain[level.state] > tests.bound if len(level.contexts) else np.zeros(0, bool)
-        prob = prob.copy()
-        prob[level.at[state]] = (context[state] + tests.prior * parent[state]) / (level.occurrences[state] + tests.prior)
-        pending = None
-    return levels, count, prob, pending
+        level.count, level.parent = B.told(answers, 2 * k - 1).astype(np.float64)[level.of], prob[level.at]
+        if 2 * k in have:
+            at, _, state = level.often(tests.least)
+            at = at[B.told(answers, 2 * k)[state] > tests.bound]
+            prob = prob.copy()
+            prob[level.at[at]] = (level.count[at] + tests.prior * level.parent[at]) / (level.occurrences[at] + tests.prior)
+    return levels, count, prob
+
+
+def pairs(t: _Tokens) -> _Level:
+    at = np.flatnonzero(t.place >= 1)
+    return _Level(t, at, t.vocabulary[t.token[at - 1]])
+
+
+def _asked(block: int, rows: list[tuple[int, B.Scale, B.Asked]]) -> pa.Table:
+    parts = [(q, B.asked_rows(block, scale, *own)) for q, scale, own in rows]
+    return pa.concat_tables([pa.table({"question": pa.array([q] * p.num_rows, pa.int32()), **{c: p.column(c) for c in ("bucket", "block", "payload")}}) for q, p in parts])
 
 
 _ASKS = "question int, bucket int, block long, payload binary"
@@ -159,40 +169,43 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
 
     table = B.blocks(marked, id_col, "_t", make)
     n_bytes = B.total_bytes(table)
-    words = B.ask(table, B.Scale(B.Scale.of(n_bytes / 50, 0).buckets, 64), lambda p: _Tokens(p).words())
-    answers = [stored(B.totals(words), "words")]
-    sums = [B.unpack(r[0]) for r in answers[0].where("block < 0").select("payload").toLocalIterator()]
-    stats = (float(sum(s[1][0] for s in sums)), float(sum(s[0][0] for s in sums)))
+    spark = docs.sparkSession
+    words_scale = B.Scale(B.Scale.of(n_bytes / 50, 0).buckets, 64)
     grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 24).bits)
     few = B.Scale(max(1, grams.buckets // 4), 64)
 
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
+                t = _Tokens(payload.as_py())
+                yield from _asked(block, [(0, words_scale, t.words()), (1, grams, pairs(t).asked())]).to_batches()
+
+    asked = stored(table.select("block", "payload").mapInArrow(first, _ASKS), "asked")
+    answers = [stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals") for q in (0, 1)]
+    sums = [B.unpack(r[0]) for r in answers[0].where("block < 0").select("payload").toLocalIterator()]
+    stats = (float(sum(s[1][0] for s in sums)), float(sum(s[0][0] for s in sums)))
+
     def asks(level: int):
-        """Counts of this level's grams, and with them the divergence sums of the level above, which need no more."""
+        """Divergence sums of this level, and counts of the next, which need no more."""
 
         def run(block: int, payload: bytes, told: pa.Table) -> pa.Table:
-            t = _Tokens(payload)
-            levels, _, _, pending = _levels(t, told, stats, min(level, depth), tests)
-            rows = []
-            if pending is not None:
-                rows.append((2 * level - 2, few, pending[0].gains(pending[1], pending[2], tests.prior)))
-            if level <= depth and len(levels) == level:
-                rows.append((2 * level - 1, grams, levels[-1].asked()))
-            parts = [(q, B.asked_rows(block, scale, *a)) for q, scale, a in rows]
-            out = [pa.table({"question": pa.array([q] * p.num_rows, pa.int32()), **{c: p.column(c) for c in ("bucket", "block", "payload")}}) for q, p in parts]
-            return pa.concat_tables(out) if out else pa.schema([("question", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())]).empty_table()
+            levels = _levels(_Tokens(payload), told, stats, min(level + 1, depth), tests)[0]
+            rows = [(2 * level, few, levels[level - 1].gains(tests))]
+            if level < depth:
+                rows.append((2 * level + 1, grams, levels[level].asked()))
+            return _asked(block, rows)
 
         return run
 
-    for level in range(1, depth + 2):
+    for level in range(1, depth + 1):
         asked = stored(B.tell(table, answers, asks(level), _ASKS), "asked")
-        if level > 1:
-            answers.insert(2 * level - 2, stored(B.totals(asked.where(F.col("question") == 2 * level - 2).drop("question")), "gains"))
-        if level <= depth:
-            answers.append(stored(B.totals(asked.where(F.col("question") == 2 * level - 1).drop("question")), "counts"))
+        for q in (2 * level, 2 * level + 1)[: 1 + (level < depth)]:
+            answers.append(stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals"))
+        release(spark)
 
     def final(block: int, payload: bytes, told: pa.Table) -> pa.Table:
         t = _Tokens(payload)
-        _, count, prob, _ = _levels(t, told, stats, depth, tests)
+        _, count, prob = _levels(t, told, stats, depth, tests)
         base = np.log10((count[t.token] + 0.1) / (stats[0] + 0.1 * (stats[1] + 1)))
         add = lambda x: np.add.reduceat(x, t.start) if len(t.start) else np.zeros(0)
         return pa.table({

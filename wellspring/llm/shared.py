@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -42,6 +43,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps whose results are stored; it acts on the driver's garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): smallest node reachable over ``edges`` (a, b); nodes without an edge are absent.
 
@@ -55,23 +62,26 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    e, last = stored(e, "edges"), None
+    e = stored(e, "edges")
     while True:
+        # Done when every leaf has one centre and no centre is a leaf.
+        n, leaves = e.agg(F.count(F.lit(1)), F.count_distinct("u")).first()
+        if n == leaves and e.select(F.col("v").alias("u")).distinct().join(e.select("u"), "u", "left_semi").isEmpty():
+            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-            .select("e.*")
-            .where("u <> v")
-            .distinct()
-        )
-        e = stored(small, "edges")
-        state = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-        if state == last:
-            break
-        last = state
+        small = large.join(least, "u").select(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))).alias("e"))
+        e = stored(small.select(F.explode("e").alias("e")).select("e.*").where("u <> v").distinct(), "edges")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def merge_components(root: DataFrame, edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, component) of ``root`` with further edges: only the components that these join are worked on."""
+    of = lambda c: root.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+    joined = edges.join(of(a), a, "left").join(of(b), b, "left").select(F.coalesce(f"_{a}", a).alias("u"), F.coalesce(f"_{b}", b).alias("v"))
+    more = stored(connected_components(joined, "u", "v"), "classes")
+    moved = root.join(more.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return moved.unionByName(more.join(root.select("node"), "node", "left_anti"))

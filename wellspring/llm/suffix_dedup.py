@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks as B
-from .shared import stored
+from .shared import release, stored
 
 GRAM, CHUNK = 32, 1 << 19
+#: Samples whose windows are named at a time; a rank that more of them share is named at once.
+SLICE = 1 << 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _NAMES = np.random.default_rng(3).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -92,18 +94,27 @@ def repeated(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray,
     srt = rank[group]
     same = np.concatenate([srt[1:] == srt[:-1], [False]])
     same[1:] |= same[:-1].copy()
-    live = np.sort(group[same])  # samples whose rank occurs again, in the order of documents and places
-    live = order[live]
-    if len(live) == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h, doc, place, low, high, left, right = (x[live] for x in (h, doc, place, low, high, left, right))
+    group, srt = group[same], srt[same]  # samples whose rank occurs again
+    heads = np.flatnonzero(np.concatenate([[True], srt[1:] != srt[:-1]])) if len(srt) else np.zeros(0, np.int64)
+    cuts = heads[np.unique(np.searchsorted(heads, np.arange(0, len(srt), SLICE)).clip(max=max(0, len(heads) - 1)))] if len(heads) else heads
+    who, offset = [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)]
+    for begin, end in zip(cuts, [*cuts[1:], len(srt)]):
+        live = order[np.sort(group[begin:end])]  # in the order of documents and places
+        w, d = _repeated_slice(*(x[live] for x in (h, doc, place, low, high, left, right)), pool, length)
+        who.append(live[w].astype(np.int32))
+        offset.append(d)
+    return np.concatenate(who), np.concatenate(offset).astype(np.int32)
+
+
+def _repeated_slice(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.ndarray, right: np.ndarray, pool: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """``repeated`` for whole groups of a rank, in the order of documents and places."""
     span = length - GRAM
     power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(span, _STEP, np.uint64)]), dtype=np.uint64)
-    after = np.zeros(len(live), np.uint64)
+    after = np.zeros(len(h), np.uint64)
     for j in range(span):  # names of all bytes after the sample that some window needs
         use = np.flatnonzero(span - low > j)
         after[use] += _NAMES[pool[right[use] + j]] * power[j]
-    before, who, offset = np.zeros(len(live), np.uint64), [], []
+    before, who, offset = np.zeros(len(h), np.uint64), [], []
     for d in range(span + 1):
         if d:
             use = np.flatnonzero(high >= d)
@@ -119,10 +130,9 @@ def repeated(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray,
         head = np.concatenate([[True], name[1:] != name[:-1]])
         first, own = use[by[np.flatnonzero(head)[np.cumsum(head) - 1]]], use[by]
         later = (doc[own] > doc[first]) | (doc[own] == doc[first]) & (place[own] > place[first])
-        who.append(own[later])
-        offset.append(np.full(int(later.sum()), d, np.int64))
-    who, offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, offset))
-    return live[who], offset
+        who.append(own[later].astype(np.int32))
+        offset.append(np.full(int(later.sum()), d, np.uint8))
+    return (np.concatenate(who), np.concatenate(offset)) if who else (np.zeros(0, np.int32), np.zeros(0, np.uint8))
 
 
 class _Block:
@@ -177,12 +187,12 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     Null texts are empty. Rows with a null id match nothing and keep all bytes. Rows that repeat an id are compared by
     start alone, so equal rows keep each other. An empty table gives an empty one.
     """
-    if length < GRAM:
-        raise ValueError(f"length is at least {GRAM}")
+    if not GRAM <= length <= GRAM + 255:
+        raise ValueError(f"length is {GRAM} to {GRAM + 255}")
     table = B.blocks(docs, id_col, text_col, carry=carry)
     density = 2.2 / (length - GRAM + 2)
     scale = B.Scale.of(B.total_bytes(table) * density, 12)
-    ship = B.Scale(max(1, scale.buckets), 64)
+    ship = B.Scale(8 * scale.buckets, 64)
 
     def keys_of(payload: bytes) -> B.Asked:
         keys = _Block(payload, length).keys()
@@ -216,6 +226,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         return _rows(out)
 
     shipped = stored(B.tell(table, [counted], ship_shared, _ROWS), "passages")
+    release(docs.sparkSession)
 
     def sort_bucket(group: pa.Table) -> pa.Table:
         parts = [B.unpack(p.as_py(), rising=True) for p in group.column("payload")]
