@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import blocks as B
@@ -26,6 +26,8 @@ from .shared import connected_components, merge_components, release, stored
 
 #: Sets verified against one other in a task, about.
 GROUP = 2000
+#: Candidates from which on a set shares a task with others, and the slices of those.
+CROWD, HEADS = 100, 32
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -181,18 +183,23 @@ def _classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # A shingle's leader is its smallest set. A shingle may lead very many sets: the minimum is taken before the
     # shuffle and the join is split by adaptive execution.
     lead = entries.groupBy("token").agg(F.min(F.struct("set_id", "size", "place")).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "l.*")
-    met = entries.alias("y").join(lead.alias("x"), "token").where((F.col("x.set_id") != F.col("y.set_id")) & _positional(percent))
-    met = stored(met.select(*both).distinct(), "pairs")
     # Each set first meets the smallest of its leaders alone: of a large class little is open after that.
-    checked = stored(_verify(met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, percent), "links")
+    met = entries.alias("y").join(lead.alias("x"), "token").where((F.col("x.set_id") != F.col("y.set_id")) & _positional(percent))
+    first = met.groupBy(F.col("y.set_id").alias("b")).agg(F.min("x.set_id").alias("a")).select("a", "b")
+    checked = stored(_verify(stored(first, "pairs"), sets, percent), "links")
     root = stored(connected_components(checked.where("linked"), "a", "b"), "classes")
-    a_root, b_root = (root.select(F.col("node").alias(c), F.col("component").alias(f"{c}_root")) for c in "ab")
-    still = met.join(a_root, "a", "left").join(b_root, "b", "left").where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-    more = stored(_verify(stored(still.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs"), sets, percent), "links")
+
+    def rooted() -> DataFrame:
+        own = entries.join(root, entries["set_id"] == root["node"], "left")
+        return stored(own.select("token", "set_id", "size", "place", F.coalesce("component", "set_id").alias("root")), "entries")
+
+    of = rooted()
+    lead = of.groupBy("token").agg(F.min(F.struct("set_id", "size", "place", "root")).alias("l"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "l.*")
+    met = of.alias("y").join(lead.alias("x"), "token").where((F.col("x.root") != F.col("y.root")) & _positional(percent))
+    more = stored(_verify(stored(met.select(*both).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs"), sets, percent), "links")
     checked = checked.unionByName(more)
     root = stored(merge_components(root, more.where("linked"), "a", "b"), "classes")
-    of = entries.join(root, entries["set_id"] == root["node"], "left").select("token", "set_id", "size", "place", F.coalesce("component", "set_id").alias("root"))
-    of = stored(of, "entries")
+    of = rooted()
     # Shingles of more than one class: sets outside the shingle's largest class are compared with all others of it.
     per = of.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = per.groupBy("token").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", F.col("most.root").alias("main"))
@@ -205,18 +212,29 @@ def _classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): b's set against a's, by the trie of a slice of a's candidates."""
-    slices = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("slices"))
-    dealt = pairs.join(slices, "a").withColumn("slice", F.pmod(F.xxhash64("b"), "slices").cast("int"))
-    heads = slices.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    held = dealt.select("a", "b", "slice").unionByName(heads).join(sets.withColumnRenamed("set_id", "b"), "b")
+    """(a, b, linked): b's set against a's, by the trie of a slice of a's candidates.
+
+    Sets with many candidates are put together (those of one dense group share their largest candidate), so that a
+    candidate travels once for all of them, and not once a pair.
+    """
+    own = Window.partitionBy("a")
+    many = F.count(F.lit(1)).over(own) >= CROWD
+    key = F.when(many, F.concat_ws("-", F.max("b").over(own), F.pmod(F.xxhash64("a"), F.lit(HEADS)))).otherwise(F.col("a").cast("string"))
+    met = pairs.withColumn("key", key).groupBy("key", "b").agg(F.collect_list("a").alias("heads"))
+    slices = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("key")) / GROUP).cast("int")
+    met = met.withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("b"), "slices").cast("int"))
+    every = met.groupBy("key", "slice").agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
+    heads = every.select("key", "slice", F.explode("heads").alias("b"), F.lit(None).cast("array<long>").alias("heads"))
+    held = met.select("key", "slice", "b", "heads").unionByName(heads).join(sets.withColumnRenamed("set_id", "b"), "b")
 
     def run(group: pa.Table) -> pa.Table:
-        a, b = group.column("a")[0].as_py(), group.column("b").to_pylist()
+        b, of = group.column("b").to_pylist(), group.column("heads").to_pylist()
         found = {k: B.unpack(p.as_py(), rising=True)[0] for k, p in zip(b, group.column("payload"))}
-        b = sorted(set(found) - {a})
-        over = trie_overlaps(found[a], [found[k] for k in b], percent) if a in found else [-1] * len(b)
-        return pa.table({"a": pa.array([a] * len(b), pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array([x >= 0 for x in over], pa.bool_())})
-
-    return held.groupBy("a", "slice").applyInArrow(run, "a long, b long, linked boolean")
-
+        under: dict[int, list[int]] = {}
+        for k, own in zip(b, of):
+            for a in own or ():
+                under.setdefault(a, []).append(k)
+        out = [(a, k, x >= 0) for a, own in under.items() for k, x in zip(own, trie_overlaps(found[a], [found[k] for k in own], percent))]
+        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64()), "linked": pa.array([o[2] for o in out], pa.bool_())})
+
+    return held.groupBy("key", "slice").applyInArrow(run, "a long, b long, linked boolean")

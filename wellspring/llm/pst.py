@@ -12,7 +12,6 @@ questions reaches them, so no table of the vocabulary exists in one place.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .mixing import word_count
 from .ngram_join import word_hash
-from .shared import release, stored
+from .shared import discard, release, stored
 
 #: Occurrences that a context needs, the bound of the divergence test (nats), and the weight of the parent's distribution.
 @dataclass(frozen=True)
@@ -171,17 +170,14 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     n_bytes = B.total_bytes(table)
     spark = docs.sparkSession
     words_scale = B.Scale(B.Scale.of(n_bytes / 50, 0).buckets, 64)
-    grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 24).bits)
+    grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 18).bits)
     few = B.Scale(max(1, grams.buckets // 4), 64)
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                t = _Tokens(payload.as_py())
-                yield from _asked(block, [(0, words_scale, t.words()), (1, grams, pairs(t).asked())]).to_batches()
-
-    asked = stored(table.select("block", "payload").mapInArrow(first, _ASKS), "asked")
-    answers = [stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals") for q in (0, 1)]
+    answers = [
+        stored(B.totals(B.ask(table, words_scale, lambda p: _Tokens(p).words())), "totals"),
+        stored(B.totals(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked())), "totals"),
+    ]
+    release(spark)
     sums = [B.unpack(r[0]) for r in answers[0].where("block < 0").select("payload").toLocalIterator()]
     stats = (float(sum(s[1][0] for s in sums)), float(sum(s[0][0] for s in sums)))
 
@@ -201,6 +197,7 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
         asked = stored(B.tell(table, answers, asks(level), _ASKS), "asked")
         for q in (2 * level, 2 * level + 1)[: 1 + (level < depth)]:
             answers.append(stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals"))
+        discard(asked)
         release(spark)
 
     def final(block: int, payload: bytes, told: pa.Table) -> pa.Table:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/wellspring/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove_quietly, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a stored table that no later step reads."""
+    remove(df.sparkSession, df.stored_at)
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps whose results are stored; it acts on the driver's garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner drop the shuffle files of steps whose results are stored.
+
+    It acts on the driver's garbage: Python's first, then the plans that Python held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -75,7 +75,8 @@ def samples(data: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarra
             continue
         # A run ends where the sample changes or windows stop being valid.
         stop = np.flatnonzero(ok & np.concatenate([(at[1:] != at[:-1]) | ~ok[1:], [True]]))
-        found.append((at[first] + begin, first + begin, stop + begin, h[at[first]]))
+        # Least hashes are small numbers; spread out they can be dealt by range.
+        found.append((at[first] + begin, first + begin, stop + begin, h[at[first]] * _STEP))
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, np.uint64)
@@ -238,8 +239,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         block = np.repeat(np.array(group.column("block").to_pylist(), np.int64), [len(p[0]) for p in parts])
         out = []
         start, of = row_at[who] + place[who] - offset, block[who]
-        for k in np.unique(of).tolist():
-            out.append((0, 0, k, B.pack(*runs(start[of == k]), rising=True)))
+        by = np.argsort(of, kind="stable")
+        for k, own in zip(np.unique(of).tolist(), np.split(start[by], np.flatnonzero(np.diff(of[by])) + 1)):
+            out.append((0, 0, k, B.pack(*runs(own), rising=True)))
         return _rows(out)
 
     found = shipped.where("kind = 1").groupBy("bucket").applyInArrow(sort_bucket, _ROWS)
