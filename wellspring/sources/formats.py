@@ -57,7 +57,7 @@ def contigs(spark: SparkSession, path: str) -> DataFrame:
 
 def word_list(spark: SparkSession, path: str) -> DataFrame:
     """(barcode): distinct upper-cased entries between commas and white space."""
-    return spark.read.text(path).select(F.upper(F.explode(F.split("value", r"[,\s]+"))).alias("barcode")).where("barcode <> ''").distinct()
+    return spark.read.text(path).select(F.explode(F.split(F.upper("value"), r"[,\s]+")).alias("barcode")).where("barcode <> ''").distinct()
 
 
 def write_mex(counts: DataFrame, genes: list[str], wells: list[str], path: str) -> None:
