@@ -21,6 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import stored
 
@@ -216,10 +217,10 @@ def told(rows: pa.Table, question_no: int = 0) -> np.ndarray:
     return np.concatenate([unpack(p)[0] for _, p in own]) if own else np.zeros(0)
 
 
-def tell(table: DataFrame, answers: list[DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """Blocks with their answers (question: place in ``answers``) through ``fn``: one task per block."""
+def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
+    """Blocks with their answers, by the question's number, through ``fn``: one task per block."""
     every = None
-    for i, a in enumerate(answers):
+    for i, a in answers.items():
         part = a.where("block >= 0").select("block", F.lit(i).alias("question"), "bucket", "payload")
         every = part if every is None else every.unionByName(part)
 

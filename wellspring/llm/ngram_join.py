@@ -146,7 +146,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
         kind, a, b, c, d = (np.concatenate([p[j] for p in parts]) for j in range(5))
         return pa.table({"kind": pa.array(kind, pa.int32()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "c": pa.array(c, pa.int32()), "d": pa.array(d, pa.int32()), "payload": pa.array([x for p in parts for x in p[5]], pa.binary())})
 
-    rows = stored(B.tell(table, [frequency], prefixes, _ROWS), "prefixes")
+    rows = stored(B.tell(table, {0: frequency}, prefixes, _ROWS), "prefixes")
     release(docs.sparkSession)
     members = rows.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("set_id"), F.col("c").alias("size"))
     sets = rows.where("kind = 2").groupBy(F.col("b").alias("set_id")).agg(F.first("payload").alias("payload"))

@@ -3,7 +3,8 @@
 Order 0 is the smoothed word distribution. A context (the one or two words before) joins the tree if it is seen often
 enough and passes a divergence test: the summed log ratio between its own next-word distribution, each occurrence left
 out of its own count, and that of its parent, over all occurrences, has to exceed a bound. A state's distribution is
-smoothed with its parent's as prior. A word is scored in the longest suffix state of what precedes it.
+smoothed with its parent's as prior, which weighs as many
+occurrences as different words follow the state. A word is scored in the longest suffix state of what precedes it.
 
 All counts are over all learnt documents. Blocks of documents ask for the counts of their words, then of their word
 pairs, then for the divergence sums of their contexts and, one word longer, again; nothing but answers to their own
@@ -24,12 +25,18 @@ from .mixing import word_count
 from .ngram_join import word_hash
 from .shared import discard, release, stored
 
-#: Occurrences that a context needs, the bound of the divergence test (nats), and the weight of the parent's distribution.
+#: Occurrences that a context needs, the bound of the divergence test (nats), the weight of the parent in the test, and
+#: the weight of the parent in scoring, by word that follows the context.
 @dataclass(frozen=True)
 class Tests:
     least: int = 6
     bound: float = 10.0
     prior: float = 100.0
+    back_off: float = 4.0
+
+
+#: Questions for the number of words that follow contexts of k words: FOLLOW + k.
+FOLLOW = 100
 
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -95,18 +102,23 @@ class _Level:
         at = np.flatnonzero(self.occurrences >= least)
         return at, *np.unique(self.context[at], return_inverse=True)
 
-    def gains(self, tests: Tests) -> B.Asked:
-        """Divergence sums of the block's contexts: each learnt occurrence is left out of its own counts."""
+    def gains(self, tests: Tests) -> tuple[B.Asked, B.Asked]:
+        """The block's contexts with their divergence sums (each learnt occurrence left out of its own counts), and with
+        their share of the number of distinct words that follow."""
         at, contexts, state = self.often(tests.least)
         at, state = at[self.learnt[at]], state[self.learnt[at]]
+        # Occurrences over their counts add up to the number of distinct words that follow.
+        follow = np.bincount(state, 1.0 / self.count[at], len(contexts))
         c, n, p = self.count[at] - 1.0, self.occurrences[at] - 1.0, self.parent[at]
-        return contexts, np.bincount(state, np.log((c + tests.prior * p) / ((n + tests.prior) * p)), len(contexts))
+        gain = np.bincount(state, np.log((c + tests.prior * p) / ((n + tests.prior) * p)), len(contexts))
+        return (contexts, gain), (contexts, follow)
 
 
 def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: int, tests: Tests) -> tuple[list[_Level], np.ndarray, np.ndarray]:
     """The levels that can be formed, word counts, and each token's probability in its longest known state.
 
-    Questions: 0 the counts of words, 2k-1 and 2k counts and divergence sums of the contexts of k words. All pairs are
+    Questions: 0 the counts of words, 2k-1 and 2k counts and divergence sums of the contexts of k words, FOLLOW + k the
+    numbers of words that follow them. All pairs are
     counted; of longer contexts only those that are seen often enough.
     """
     have = set(answers.column("question").to_pylist())
@@ -132,9 +144,11 @@ def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: in
         level.count, level.parent = B.told(answers, 2 * k - 1).astype(np.float64)[level.of], prob[level.at]
         if 2 * k in have:
             at, _, state = level.often(tests.least)
-            at = at[B.told(answers, 2 * k)[state] > tests.bound]
+            state_gain, follow = B.told(answers, 2 * k)[state], B.told(answers, FOLLOW + k)[state]
+            grown, prior = state_gain > tests.bound, tests.back_off * follow
+            at, prior = at[grown], prior[grown]
             prob = prob.copy()
-            prob[level.at[at]] = (level.count[at] + tests.prior * level.parent[at]) / (level.occurrences[at] + tests.prior)
+            prob[level.at[at]] = (level.count[at] + prior * level.parent[at]) / (level.occurrences[at] + prior)
     return levels, count, prob
 
 
@@ -173,10 +187,10 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 18).bits)
     few = B.Scale(max(1, grams.buckets // 4), 64)
 
-    answers = [
-        stored(B.totals(B.ask(table, words_scale, lambda p: _Tokens(p).words())), "totals"),
-        stored(B.totals(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked())), "totals"),
-    ]
+    answers = {
+        0: stored(B.totals(B.ask(table, words_scale, lambda p: _Tokens(p).words())), "totals"),
+        1: stored(B.totals(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked())), "totals"),
+    }
     release(spark)
     sums = [B.unpack(r[0]) for r in answers[0].where("block < 0").select("payload").toLocalIterator()]
     stats = (float(sum(s[1][0] for s in sums)), float(sum(s[0][0] for s in sums)))
@@ -186,7 +200,8 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
 
         def run(block: int, payload: bytes, told: pa.Table) -> pa.Table:
             levels = _levels(_Tokens(payload), told, stats, min(level + 1, depth), tests)[0]
-            rows = [(2 * level, few, levels[level - 1].gains(tests))]
+            gain, follow = levels[level - 1].gains(tests)
+            rows = [(2 * level, few, gain), (FOLLOW + level, few, follow)]
             if level < depth:
                 rows.append((2 * level + 1, grams, levels[level].asked()))
             return _asked(block, rows)
@@ -195,8 +210,8 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
 
     for level in range(1, depth + 1):
         asked = stored(B.tell(table, answers, asks(level), _ASKS), "asked")
-        for q in (2 * level, 2 * level + 1)[: 1 + (level < depth)]:
-            answers.append(stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals"))
+        for q in (2 * level, FOLLOW + level, 2 * level + 1)[: 2 + (level < depth)]:
+            answers[q] = stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals")
         discard(asked)
         release(spark)
 

@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; only where that is unset (tests on one machine) a folder of our own."""
-    path = spark.conf.get("spark.checkpoint.dir", "")
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="wellspring-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        path = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="wellspring-")
     return path.rstrip("/")
 
 
@@ -56,10 +59,10 @@ def release(spark: SparkSession) -> None:
 
     It acts on the driver's garbage: Python's first, then the plans that Python held.
     """
-    for _ in range(2):
+    for _ in range(3):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
+        time.sleep(0.4)
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:

@@ -226,7 +226,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             out.append((1, int(k), block, B.pack(*fields, rising=True, level=3)))
         return _rows(out)
 
-    shipped = stored(B.tell(table, [counted], ship_shared, _ROWS), "passages")
+    shipped = stored(B.tell(table, {0: counted}, ship_shared, _ROWS), "passages")
     release(docs.sparkSession)
 
     def sort_bucket(group: pa.Table) -> pa.Table:
@@ -278,7 +278,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         return out
 
     schema = T.StructType([*T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").fields, *(docs.schema[c] for c in carry)])
-    out = B.tell(table, [answers], cut_out, schema)
+    out = B.tell(table, {0: answers}, cut_out, schema)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     nameless = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), text.alias("kept"), *carry)
     return out.unionByName(nameless)
