@@ -31,8 +31,8 @@ WORDS = word_pattern(r"\p{L}", r"\p{N}", _SPACE)
 #: The same for texts below U+0250, where the classes are short and the standard library's engine is twice as fast.
 LATIN_WORDS = word_pattern(r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0")
 BEYOND_LATIN = "[ɐ-\U0010ffff]"
-#: Encodings a worker keeps between batches; beyond it the memory is emptied. Longer words are not kept.
-KEPT_WORDS, KEPT_BYTES = 800_000, 64
+#: Encodings a worker keeps between batches, the longest in bytes, and token pairs; beyond it a memory is emptied.
+KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 400_000, 64, 800_000
 
 
 def byte_spelling() -> dict[str, int]:
@@ -58,7 +58,7 @@ class Vocabulary:
         self.longest = max(map(len, self.id_of))
         # Only tokens that encode to themselves can end an encoding.
         self.whole = {t: i for t, i in self.id_of.items() if self.merged(t) == [t]}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}
         self.kept: dict[str, bytes] = {}
 
     def merged(self, word: bytes) -> list[bytes]:
@@ -73,11 +73,11 @@ class Vocabulary:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether the merges leave a border between tokens a and b."""
-        if (known := self.beside.get((a, b))) is None:
+        if (known := self.beside.get(a << 32 | b)) is None:
             x, y = self.bytes_of[a], self.bytes_of[b]
-            if len(self.beside) > 4_000_000:
+            if len(self.beside) >= KEPT_PAIRS:
                 self.beside.clear()
-            known = self.beside[a, b] = self.merged(x + y) == [x, y]
+            known = self.beside[a << 32 | b] = self.merged(x + y) == [x, y]
         return known
 
     def ids(self, ends: list[int]) -> list[int]:
