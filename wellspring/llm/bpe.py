@@ -58,6 +58,11 @@ class Vocabulary:
         self.longest = max(map(len, self.id_of))
         # Only tokens that encode to themselves can end an encoding.
         self.whole = {t: i for t, i in self.id_of.items() if self.merged(t) == [t]}
+        # Lengths of the tokens that end in some three bytes, longest first: the only ones worth trying there.
+        sizes: dict[bytes, set[int]] = {}
+        for t in self.whole:
+            sizes.setdefault(t[-3:], set()).add(len(t))
+        self.sizes = {end: sorted(own, reverse=True) for end, own in sizes.items()}
         self.beside: dict[int, bool] = {}
         self.kept: dict[str, bytes] = {}
 
@@ -119,10 +124,14 @@ class Vocabulary:
 
     def _at(self, tail: bytes, ends: list[int], n: int) -> int:
         """The last token of a prefix of n bytes that ends in ``tail``; ``ends[i]`` is that of its first i bytes."""
-        for size in range(min(len(tail), n), 0, -1):
-            token = self.whole.get(tail[len(tail) - size :])
-            if token is not None and (size == n or self.follows(ends[n - size], token)):
-                return token
+        whole, have = self.whole, len(tail)
+        for end in (tail[-3:], tail[-2:], tail[-1:])[max(0, 3 - have) :]:
+            for size in self.sizes.get(end, ()):
+                if size > have or len(end) < 3 and size != len(end):
+                    continue
+                token = whole.get(tail[have - size :])
+                if token is not None and (size == n or self.follows(ends[n - size], token)):
+                    return token
         raise ValueError("the vocabulary lacks a byte")
 
 
