@@ -54,10 +54,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives the text again."""
-    path = tokenizer_path()
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return out.select("doc_id", "lang", "source", "n_tokens", "ids", same.alias("round_trip"))
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(), verify=True)
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip")
 
 
 STAGES = [

@@ -32,7 +32,7 @@ WORDS = word_pattern(r"\p{L}", r"\p{N}", _SPACE)
 LATIN_WORDS = word_pattern(r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0")
 BEYOND_LATIN = "[ɐ-\U0010ffff]"
 #: Encodings a worker keeps between batches, the longest in bytes, and token pairs; beyond it a memory is emptied.
-KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 400_000, 64, 800_000
+KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 200_000, 64, 400_000
 
 
 def byte_spelling() -> dict[str, int]:
@@ -187,33 +187,56 @@ def _encode_rows(texts: list[str], vocab: Vocabulary, cut, words_of) -> list[byt
     return packed
 
 
-def _encoder(spec: str, text_col: str):
+def trim() -> None:
+    """Give back what earlier steps of a reused worker have freed but still hold."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def _encoder(spec: str, text_col: str, verify: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         vocab, words_of = _vocabulary(spec), _splitter()
         cut = re.compile("|".join(map(re.escape, sorted(vocab.special, key=len, reverse=True)))) if vocab.special else None
         for batch in batches:
             for start in range(0, batch.num_rows, 256):  # bounds what is held as Python objects
                 rows = batch.slice(start, 256)
-                packed = _encode_rows([t or "" for t in rows.column(text_col).to_pylist()], vocab, cut, words_of)
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
-                    names=[*rows.schema.names, "n_tokens", "ids"],
-                )
+                texts = [t or "" for t in rows.column(text_col).to_pylist()]
+                packed = _encode_rows(texts, vocab, cut, words_of)
+                more = {"n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()), "ids": pa.array(packed, pa.binary())}
+                if verify:
+                    more["round_trip"] = pa.array([_decode(p, vocab.spelt) == t for p, t in zip(packed, texts)])
+                yield pa.RecordBatch.from_arrays([*rows.columns, *more.values()], names=[*rows.schema.names, *more])
 
     return run
 
 
+def _decode(packed: bytes, spelt: dict[int, bytes]) -> str:
+    import numpy as np
+
+    return b"".join(map(spelt.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
+
+
+def _spelling(spec: str) -> dict[int, bytes]:
+    """The bytes of every id; all that decoding needs of a tokenizer."""
+    model, spell = json.loads(spec), byte_spelling()
+    plain = {i: bytes(spell[c] for c in t) for t, i in model["model"]["vocab"].items()}
+    return plain | {x["id"]: x["content"].encode() for x in model.get("added_tokens", [])}
+
+
 def _decoder(spec: str, ids_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        spelt = _vocabulary(spec).spelt
+        spelt = _spelling(spec)
         for batch in batches:
-            texts = [
-                b"".join(map(spelt.__getitem__, np.frombuffer(p or b"", "<u4").tolist())).decode("utf-8", "replace")
-                for p in batch.column(ids_col).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            for start in range(0, batch.num_rows, 256):
+                rows = batch.slice(start, 256)
+                texts = [_decode(p or b"", spelt) for p in rows.column(ids_col).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], names=[*rows.schema.names, "decoded"])
 
     return run
 
@@ -231,15 +254,17 @@ def wider(df: DataFrame, **more: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in more.items())])
 
 
-def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
+def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", verify: bool = False) -> DataFrame:
     """``df`` with ``n_tokens`` (long) and ``ids`` (binary: little-endian unsigned 32-bit token ids) of ``text_col``.
 
     Same ids as the tokenizers library gives for the file without added special tokens; strings of special tokens in a
-    text become their ids. A null or empty text has no ids. Columns already called n_tokens or ids are replaced; rows
-    are neither dropped nor merged, so repeated rows come out repeated. No shuffle: a map over partitions.
+    text become their ids. A null or empty text has no ids. ``verify`` adds ``round_trip``: whether decoding gives the
+    text again. Columns that already have these names are replaced; rows are neither dropped nor merged, so repeated
+    rows come out repeated. No shuffle: a map over partitions.
     """
-    df = df.drop("n_tokens", "ids")
-    return df.mapInArrow(_encoder(_spec(tokenizer_path), text_col), wider(df, n_tokens=T.LongType(), ids=T.BinaryType()))
+    more = {"n_tokens": T.LongType(), "ids": T.BinaryType()} | ({"round_trip": T.BooleanType()} if verify else {})
+    df = df.drop(*more)
+    return df.mapInArrow(_encoder(_spec(tokenizer_path), text_col, verify), wider(df, **more))
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> DataFrame:
