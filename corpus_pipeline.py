@@ -54,7 +54,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives the text again."""
-    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(), verify=True)
+    out = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(), verify=True, kept_words=200_000)
     return out.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip")
 
 

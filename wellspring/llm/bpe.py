@@ -32,7 +32,7 @@ WORDS = word_pattern(r"\p{L}", r"\p{N}", _SPACE)
 LATIN_WORDS = word_pattern(r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0")
 BEYOND_LATIN = "[ɐ-\U0010ffff]"
 #: Encodings a worker keeps between batches, the longest in bytes, and token pairs; beyond it a memory is emptied.
-KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 200_000, 64, 400_000
+KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 400_000, 64, 800_000
 
 
 def byte_spelling() -> dict[str, int]:
@@ -170,10 +170,10 @@ def _pieces(text: str, cut, words_of) -> list[str]:
     return own + words_of(text[begin:])
 
 
-def _encode_rows(texts: list[str], vocab: Vocabulary, cut, words_of) -> list[bytes]:
+def _encode_rows(texts: list[str], vocab: Vocabulary, cut, words_of, kept_words: int = KEPT_WORDS) -> list[bytes]:
     pieces = [_pieces(t, cut, words_of) for t in texts]
     words = set().union(*pieces)
-    if len(vocab.kept) + len(words) > KEPT_WORDS:
+    if len(vocab.kept) + len(words) > kept_words:
         vocab.kept = {}
     known = vocab.kept
     if new := words.difference(known, vocab.special):
@@ -198,7 +198,7 @@ def trim() -> None:
         libc.malloc_trim(0)
 
 
-def _encoder(spec: str, text_col: str, verify: bool):
+def _encoder(spec: str, text_col: str, verify: bool, kept_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
         vocab, words_of = _vocabulary(spec), _splitter()
@@ -207,7 +207,7 @@ def _encoder(spec: str, text_col: str, verify: bool):
             for start in range(0, batch.num_rows, 256):  # bounds what is held as Python objects
                 rows = batch.slice(start, 256)
                 texts = [t or "" for t in rows.column(text_col).to_pylist()]
-                packed = _encode_rows(texts, vocab, cut, words_of)
+                packed = _encode_rows(texts, vocab, cut, words_of, kept_words)
                 more = {"n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()), "ids": pa.array(packed, pa.binary())}
                 if verify:
                     more["round_trip"] = pa.array([_decode(p, vocab.spelt) == t for p, t in zip(packed, texts)])
@@ -254,17 +254,17 @@ def wider(df: DataFrame, **more: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in more.items())])
 
 
-def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", verify: bool = False) -> DataFrame:
+def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", verify: bool = False, kept_words: int = KEPT_WORDS) -> DataFrame:
     """``df`` with ``n_tokens`` (long) and ``ids`` (binary: little-endian unsigned 32-bit token ids) of ``text_col``.
 
     Same ids as the tokenizers library gives for the file without added special tokens; strings of special tokens in a
     text become their ids. A null or empty text has no ids. ``verify`` adds ``round_trip``: whether decoding gives the
-    text again. Columns that already have these names are replaced; rows are neither dropped nor merged, so repeated
+    text again; ``kept_words`` bounds the encodings that a worker remembers. Columns that already have these names are replaced; rows are neither dropped nor merged, so repeated
     rows come out repeated. No shuffle: a map over partitions.
     """
     more = {"n_tokens": T.LongType(), "ids": T.BinaryType()} | ({"round_trip": T.BooleanType()} if verify else {})
     df = df.drop(*more)
-    return df.mapInArrow(_encoder(_spec(tokenizer_path), text_col, verify), wider(df, **more))
+    return df.mapInArrow(_encoder(_spec(tokenizer_path), text_col, verify, kept_words), wider(df, **more))
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids") -> DataFrame:
