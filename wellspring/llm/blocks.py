@@ -23,14 +23,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import stored
+from .shared import release, stored, stored_by
 
 BLOCK_BYTES = 8 << 20
 #: Keys of all blocks that one task adds up at a time, about.
 KEYS_PER_BUCKET = 1_500_000
+#: Input that fills one bucket of a placed table, about, and the most buckets that Spark lets a table have.
+PLACE_BYTES, MOST_PLACES = 32 << 20, 100_000
 _HEAD = struct.Struct("<cBBQQ")
 
 
+def trim() -> None:
+    """Give back what earlier steps of a reused worker have freed but still hold."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def pack(*arrays: np.ndarray, rising: bool = False, level: int = 1) -> bytes:
     """Arrays as compressed byte planes, narrowed to the bytes in use; ``rising``: the first holds its differences."""
     out = [struct.pack("<I", len(arrays))]
@@ -100,10 +113,11 @@ def unpack_texts(payload: bytes) -> Texts:
     return Texts(ids, np.concatenate([[0], np.cumsum(size.astype(np.int64))]), press(payload[12 + n + m :]), rest)
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., bytes] = pack_texts, carry: Sequence[str] = (), size: int = BLOCK_BYTES) -> DataFrame:
+def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., bytes] = pack_texts, carry: Sequence[str] = (), size: int = BLOCK_BYTES, placed: bool = False) -> DataFrame:
     """Written table (block long, payload binary, n_bytes long) of all rows with a non-null id; null texts are empty.
 
-    ``make`` packs ids and texts, and the columns ``carry`` if there are any.
+    ``make`` packs ids and texts, and the columns ``carry`` if there are any. ``placed``: the blocks are dealt once, as
+    they are written, and every ``tell`` after that moves the answers only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +144,15 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., byte
             yield done()
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"), *carry)
-    return stored(rows.mapInArrow(run, "block long, payload binary, n_bytes long"), "blocks")
+    packed = rows.mapInArrow(run, "block long, payload binary, n_bytes long")
+    if not placed:
+        return stored(packed, "blocks")
+    # Fewer buckets than the session's shuffles have would be dealt anew.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    out = stored_by(packed, "blocks", "block", max(least, min(MOST_PLACES, n_bytes // PLACE_BYTES)))
+    release(docs.sparkSession)
+    return out
 
 
 @dataclass
@@ -187,13 +209,17 @@ def asked_rows(block: int, scale: Scale, keys: np.ndarray, weights: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([p for _, p in rows], pa.binary())], names=["bucket", "block", "payload"])
 
 
-def totals(asked: DataFrame, n: int = 0) -> DataFrame:
+def totals(asked: DataFrame, by: Sequence[str] = ("bucket",)) -> DataFrame:
     """(block, bucket, payload): for every question the total weight of each key over all blocks, in the key's order.
 
     One more row for each bucket, of block -1, holds the number of keys with a total over 0 and the sum of all totals.
+    With ``by`` of question and bucket, several questions are answered in one shuffle; their number is a column more.
     """
+    several = "question" in by
 
     def run(group: pa.Table) -> pa.Table:
+        trim()
+        number = group.column("question")[0].as_py() if several else None
         bucket, group = group.column("bucket")[0].as_py(), group.sort_by("block")  # sums of floats in one order
         parts = [unpack(p.as_py(), rising=True) for p in group.column("payload")]
         keys = np.concatenate([p[0] for p in parts])
@@ -206,9 +232,10 @@ def totals(asked: DataFrame, n: int = 0) -> DataFrame:
         back[order] = sums[np.cumsum(new) - 1]
         ends = np.cumsum([len(p[0]) for p in parts])
         out = [pack(x) for x in np.split(back, ends[:-1])] + [pack(np.array([(sums > 0).sum()], np.float64), np.array([sums.sum()], np.float64))]
-        return pa.table({"block": pa.array([*group.column("block").to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())})
+        answers = {"block": pa.array([*group.column("block").to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())}
+        return pa.table(answers | ({"question": pa.array([number] * len(out), pa.int32())} if several else {}))
 
-    return asked.groupBy("bucket").applyInArrow(run, "block long, bucket int, payload binary")
+    return asked.groupBy(*by).applyInArrow(run, "block long, bucket int, payload binary" + (", question int" if several else ""))
 
 
 def told(rows: pa.Table, question_no: int = 0) -> np.ndarray:
@@ -225,6 +252,7 @@ def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, byt
         every = part if every is None else every.unionByName(part)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        trim()
         return fn(left.column("block")[0].as_py(), left.column("payload")[0].as_py(), right)
 
     # An answer never lacks its block; a block without any key has no answer.

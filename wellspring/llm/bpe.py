@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .blocks import trim
+
 #: How byte-level BPE vocabularies spell a byte, and where they cut text into words. White space is
 #: spelt out as Unicode's property, which a regular expression library may extend by control characters.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -187,17 +189,6 @@ def _encode_rows(texts: list[str], vocab: Vocabulary, cut, words_of, kept_words:
     return packed
 
 
-def trim() -> None:
-    """Give back what earlier steps of a reused worker have freed but still hold."""
-    import ctypes
-    import gc
-
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-        libc.malloc_trim(0)
-
-
 def _encoder(spec: str, text_col: str, verify: bool, kept_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()

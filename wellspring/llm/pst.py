@@ -13,6 +13,7 @@ questions reaches them, so no table of the vocabulary exists in one place.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .mixing import word_count
 from .ngram_join import word_hash
-from .shared import discard, release, stored
+from .shared import release, stored
 
 #: Occurrences that a context needs, the bound of the divergence test (nats), the weight of the parent in the test, and
 #: the weight of the parent in scoring, by word that follows the context.
@@ -73,12 +74,12 @@ def pack_tokens(ids: np.ndarray, texts: list[bytes], learn: np.ndarray) -> bytes
 class _Tokens:
     def __init__(self, payload: bytes):
         self.vocabulary, self.ids, size, learn, code, often = B.unpack(payload, rising=True)
-        self.token = often[code].astype(np.int64)
+        self.token = often[code].astype(np.int32)
         size = size.astype(np.int64)
         self.start = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64) if len(size) else np.zeros(0, np.int64)
         self.size, self.learn = size, learn.astype(bool)
         self.learnt = np.repeat(self.learn, size)  # by token
-        self.place = np.arange(len(self.token)) - np.repeat(self.start, size)  # in its document
+        self.place = np.arange(len(self.token), dtype=np.int32) - np.repeat(self.start.astype(np.int32), size)  # in its document
 
     def words(self) -> B.Asked:
         n = np.bincount(self.token[self.learnt], minlength=len(self.vocabulary))
@@ -88,10 +89,11 @@ class _Tokens:
 class _Level:
     """The contexts of some words' length: which tokens have one, and the distinct (context, word) keys."""
 
-    def __init__(self, tokens: _Tokens, at: np.ndarray, context: np.ndarray):
-        """``at``: tokens in such a context; ``context``: its hash."""
-        self.at, self.context, self.learnt = at, context, tokens.learnt[at]
-        self.keys, self.of = np.unique(join_hash(context, tokens.vocabulary[tokens.token[at]]), return_inverse=True)
+    def __init__(self, tokens: _Tokens, at: np.ndarray, context: Callable[[np.ndarray], np.ndarray]):
+        """``at``: tokens in such a context; ``context``: its hashes at some or all (an index or slice) of these."""
+        self.at, self.context, self.learnt = at.astype(np.int32), context, tokens.learnt[at]
+        self.keys, of = np.unique(join_hash(context(slice(None)), tokens.vocabulary[tokens.token[at]]), return_inverse=True)
+        self.of = of.astype(np.int32)
         self.occurrences = self.count = self.parent = np.zeros(0)
 
     def asked(self) -> B.Asked:
@@ -100,7 +102,7 @@ class _Level:
     def often(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of the level in contexts seen often enough, those contexts, and each such token's."""
         at = np.flatnonzero(self.occurrences >= least)
-        return at, *np.unique(self.context[at], return_inverse=True)
+        return at, *np.unique(self.context(at), return_inverse=True)
 
     def gains(self, tests: Tests) -> tuple[B.Asked, B.Asked]:
         """The block's contexts with their divergence sums (each learnt occurrence left out of its own counts), and with
@@ -131,13 +133,16 @@ def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: in
             level.occurrences = count[t.token[level.at - 1]]
         else:
             # The context of k words ends a gram of the level below, whose count is the context's.
-            of = np.full(len(t.token), -1)
-            of[levels[-1].at] = np.arange(len(levels[-1].at))
-            at = np.flatnonzero(t.place >= k)
+            below = levels[-1]
+            of = np.full(len(t.token), -1, np.int32)
+            of[below.at] = np.arange(len(below.at), dtype=np.int32)
+            at = np.flatnonzero(t.place >= k).astype(np.int32)
             before = of[at - 1]
-            keep = (before >= 0) & (levels[-1].count[before] >= tests.least)
-            level = _Level(t, at[keep], levels[-1].keys[levels[-1].of[before[keep]]])
-            level.occurrences = levels[-1].count[before[keep]]
+            keep = (before >= 0) & (below.count[before] >= tests.least)
+            at, before = at[keep], before[keep]
+            del of, keep
+            level = _Level(t, at, lambda some, below=below, before=before: below.keys[below.of[before[some]]])
+            level.occurrences = below.count[before]
         levels.append(level)
         if 2 * k - 1 not in have:
             break
@@ -147,14 +152,13 @@ def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: in
             state_gain, follow = B.told(answers, 2 * k)[state], B.told(answers, FOLLOW + k)[state]
             grown, prior = state_gain > tests.bound, tests.back_off * follow
             at, prior = at[grown], prior[grown]
-            prob = prob.copy()
             prob[level.at[at]] = (level.count[at] + prior * level.parent[at]) / (level.occurrences[at] + prior)
     return levels, count, prob
 
 
 def pairs(t: _Tokens) -> _Level:
-    at = np.flatnonzero(t.place >= 1)
-    return _Level(t, at, t.vocabulary[t.token[at - 1]])
+    at = np.flatnonzero(t.place >= 1).astype(np.int32)
+    return _Level(t, at, lambda some: t.vocabulary[t.token[at[some] - 1]])
 
 
 def _asked(block: int, rows: list[tuple[int, B.Scale, B.Asked]]) -> pa.Table:
@@ -180,7 +184,7 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     def make(ids: np.ndarray, texts: list[bytes]) -> bytes:
         return pack_tokens(ids, [t[1:] for t in texts], np.array([t[:1] == b"1" for t in texts]))
 
-    table = B.blocks(marked, id_col, "_t", make)
+    table = B.blocks(marked, id_col, "_t", make, placed=True)
     n_bytes = B.total_bytes(table)
     spark = docs.sparkSession
     words_scale = B.Scale(B.Scale.of(n_bytes / 50, 0).buckets, 64)
@@ -209,10 +213,9 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
         return run
 
     for level in range(1, depth + 1):
-        asked = stored(B.tell(table, answers, asks(level), _ASKS), "asked")
+        told = stored(B.totals(B.tell(table, answers, asks(level), _ASKS), ("question", "bucket")), "totals")
         for q in (2 * level, FOLLOW + level, 2 * level + 1)[: 2 + (level < depth)]:
-            answers[q] = stored(B.totals(asked.where(F.col("question") == q).drop("question")), "totals")
-        discard(asked)
+            answers[q] = told.where(F.col("question") == q).drop("question")
         release(spark)
 
     def final(block: int, payload: bytes, told: pa.Table) -> pa.Table:

@@ -49,9 +49,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a stored table that no later step reads."""
-    remove(df.sparkSession, df.stored_at)
+def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` once to the shared folder in buckets of ``key``: later groupings by the key read it in place.
+
+    The table's name is in the session's catalog until the program ends, its files are where ``stored`` puts them.
+    """
+    spark = df.sparkSession
+    table = f"wellspring_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/wellspring/{table}"
+    dealt = df.repartition(buckets, key)
+    dealt.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table, format="parquet")
+    atexit.register(_remove_quietly, spark, path)
+    out = spark.read.table(table)
+    out.stored_at = path
+    return out
 
 
 def release(spark: SparkSession) -> None:
