@@ -209,11 +209,12 @@ def asked_rows(block: int, scale: Scale, keys: np.ndarray, weights: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([p for _, p in rows], pa.binary())], names=["bucket", "block", "payload"])
 
 
-def totals(asked: DataFrame, by: Sequence[str] = ("bucket",)) -> DataFrame:
+def totals(asked: DataFrame, by: Sequence[str] = ("bucket",), finish: dict[int, Callable[[np.ndarray], np.ndarray]] | None = None) -> DataFrame:
     """(block, bucket, payload): for every question the total weight of each key over all blocks, in the key's order.
 
     One more row for each bucket, of block -1, holds the number of keys with a total over 0 and the sum of all totals.
-    With ``by`` of question and bucket, several questions are answered in one shuffle; their number is a column more.
+    With ``by`` of question and bucket, several questions are answered in one shuffle; their number is a column more,
+    and ``finish`` may turn the totals of a question into what it is told. Complex weights are two sums at once.
     """
     several = "question" in by
 
@@ -227,11 +228,14 @@ def totals(asked: DataFrame, by: Sequence[str] = ("bucket",)) -> DataFrame:
         keys = keys[order]
         new = np.concatenate([[True], keys[1:] != keys[:-1]])
         weights = np.concatenate([p[1] for p in parts])[order]
+        if weights.dtype.kind == "c":
+            weights = weights.astype(np.complex128)
         sums = np.add.reduceat(weights, np.flatnonzero(new))
-        back = np.empty(len(keys), sums.dtype)
-        back[order] = sums[np.cumsum(new) - 1]
+        tell = finish[number](sums) if finish and number in finish else sums
+        back = np.empty(len(keys), tell.dtype)
+        back[order] = tell[np.cumsum(new) - 1]
         ends = np.cumsum([len(p[0]) for p in parts])
-        out = [pack(x) for x in np.split(back, ends[:-1])] + [pack(np.array([(sums > 0).sum()], np.float64), np.array([sums.sum()], np.float64))]
+        out = [pack(x) for x in np.split(back, ends[:-1])] + [pack(np.array([(sums.real > 0).sum()], np.float64), np.array([sums.real.sum()], np.float64))]
         answers = {"block": pa.array([*group.column("block").to_pylist(), -1], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())}
         return pa.table(answers | ({"question": pa.array([number] * len(out), pa.int32())} if several else {}))
 

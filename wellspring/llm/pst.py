@@ -36,10 +36,6 @@ class Tests:
     back_off: float = 4.0
 
 
-#: Questions for the number of words that follow contexts of k words: FOLLOW + k.
-FOLLOW = 100
-
-
 END = np.uint64(0x5851F42D4C957F2D)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,6 +47,11 @@ def join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x * _MULT
 
 
+def short(x: np.ndarray) -> np.ndarray:
+    """Single precision without the last byte, which then takes no room."""
+    return (x.astype(np.float32).view(np.uint32) + np.uint32(0x80) & np.uint32(0xFFFFFF00)).view(np.float32)
+
+
 def pack_tokens(ids: np.ndarray, texts: list[bytes], learn: np.ndarray) -> bytes:
     """Distinct word hashes (rising) and, per document, the numbers of its words among them, each followed by END's."""
     number: dict[bytes, int] = {}
@@ -104,24 +105,24 @@ class _Level:
         at = np.flatnonzero(self.occurrences >= least)
         return at, *np.unique(self.context(at), return_inverse=True)
 
-    def gains(self, tests: Tests) -> tuple[B.Asked, B.Asked]:
-        """The block's contexts with their divergence sums (each learnt occurrence left out of its own counts), and with
-        their share of the number of distinct words that follow."""
+    def gains(self, tests: Tests) -> B.Asked:
+        """The block's contexts with their divergence sums (each learnt occurrence left out of its own counts) and, as
+        the imaginary part, their share of the number of distinct words that follow; both to 16 binary digits."""
         at, contexts, state = self.often(tests.least)
         at, state = at[self.learnt[at]], state[self.learnt[at]]
         # Occurrences over their counts add up to the number of distinct words that follow.
         follow = np.bincount(state, 1.0 / self.count[at], len(contexts))
         c, n, p = self.count[at] - 1.0, self.occurrences[at] - 1.0, self.parent[at]
         gain = np.bincount(state, np.log((c + tests.prior * p) / ((n + tests.prior) * p)), len(contexts))
-        return (contexts, gain), (contexts, follow)
+        return contexts, (short(gain) + 1j * short(follow)).astype(np.complex64)
 
 
 def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: int, tests: Tests) -> tuple[list[_Level], np.ndarray, np.ndarray]:
     """The levels that can be formed, word counts, and each token's probability in its longest known state.
 
-    Questions: 0 the counts of words, 2k-1 and 2k counts and divergence sums of the contexts of k words, FOLLOW + k the
-    numbers of words that follow them. All pairs are
-    counted; of longer contexts only those that are seen often enough.
+    Questions: 0 the counts of words, 2k-1 the counts of contexts of k words with the next word, 2k how many distinct
+    words follow the contexts of k words that pass the divergence test (0: they do not). All pairs are counted; of longer
+    contexts only those that are seen often enough.
     """
     have = set(answers.column("question").to_pylist())
     count = B.told(answers, 0).astype(np.float64)
@@ -149,8 +150,8 @@ def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: in
         level.count, level.parent = B.told(answers, 2 * k - 1).astype(np.float64)[level.of], prob[level.at]
         if 2 * k in have:
             at, _, state = level.often(tests.least)
-            state_gain, follow = B.told(answers, 2 * k)[state], B.told(answers, FOLLOW + k)[state]
-            grown, prior = state_gain > tests.bound, tests.back_off * follow
+            follow = B.told(answers, 2 * k).astype(np.float64)[state]
+            grown, prior = follow > 0, tests.back_off * follow
             at, prior = at[grown], prior[grown]
             prob[level.at[at]] = (level.count[at] + prior * level.parent[at]) / (level.occurrences[at] + prior)
     return levels, count, prob
@@ -189,7 +190,7 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     spark = docs.sparkSession
     words_scale = B.Scale(B.Scale.of(n_bytes / 50, 0).buckets, 64)
     grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 18).bits)
-    few = B.Scale(max(1, grams.buckets // 4), 64)
+    few = B.Scale(max(1, grams.buckets // 4), grams.bits)
 
     answers = {
         0: stored(B.totals(B.ask(table, words_scale, lambda p: _Tokens(p).words())), "totals"),
@@ -204,17 +205,19 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
 
         def run(block: int, payload: bytes, told: pa.Table) -> pa.Table:
             levels = _levels(_Tokens(payload), told, stats, min(level + 1, depth), tests)[0]
-            gain, follow = levels[level - 1].gains(tests)
-            rows = [(2 * level, few, gain), (FOLLOW + level, few, follow)]
+            rows = [(2 * level, few, levels[level - 1].gains(tests))]
             if level < depth:
                 rows.append((2 * level + 1, grams, levels[level].asked()))
             return _asked(block, rows)
 
         return run
 
+    def grown(sums: np.ndarray) -> np.ndarray:
+        return np.where(sums.real > tests.bound, sums.imag, 0).astype(np.float32)
+
     for level in range(1, depth + 1):
-        told = stored(B.totals(B.tell(table, answers, asks(level), _ASKS), ("question", "bucket")), "totals")
-        for q in (2 * level, FOLLOW + level, 2 * level + 1)[: 2 + (level < depth)]:
+        told = stored(B.totals(B.tell(table, answers, asks(level), _ASKS), ("question", "bucket"), {2 * level: grown}), "totals")
+        for q in (2 * level, 2 * level + 1)[: 1 + (level < depth)]:
             answers[q] = told.where(F.col("question") == q).drop("question")
         release(spark)
 
