@@ -30,6 +30,8 @@ BLOCK_BYTES = 8 << 20
 KEYS_PER_BUCKET = 1_500_000
 #: Input that fills one bucket of a placed table, about, and the most buckets that Spark lets a table have.
 PLACE_BYTES, MOST_PLACES = 32 << 20, 100_000
+#: Sizes from here on are Spark's guesses for inputs that are not files.
+NO_SIZE = 1 << 56
 _HEAD = struct.Struct("<cBBQQ")
 
 
@@ -150,7 +152,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., byte
     # Fewer buckets than the session's shuffles have would be dealt anew.
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_bytes = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    out = stored_by(packed, "blocks", "block", max(least, min(MOST_PLACES, n_bytes // PLACE_BYTES)))
+    places = min(MOST_PLACES, n_bytes // PLACE_BYTES) if n_bytes < NO_SIZE else least
+    out = stored_by(packed, "blocks", "block", max(least, places))
     release(docs.sparkSession)
     return out
 
