@@ -26,6 +26,10 @@ from .mixing import word_count
 from .ngram_join import word_hash
 from .shared import release, stored
 
+#: Text of a block: the larger, the fewer blocks ask for the same key, and the more memory a worker needs.
+BLOCK_BYTES = 12 << 20
+
+
 #: Occurrences that a context needs, the bound of the divergence test (nats), the weight of the parent in the test, and
 #: the weight of the parent in scoring, by word that follows the context.
 @dataclass(frozen=True)
@@ -185,10 +189,10 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     def make(ids: np.ndarray, texts: list[bytes]) -> bytes:
         return pack_tokens(ids, [t[1:] for t in texts], np.array([t[:1] == b"1" for t in texts]))
 
-    table = B.blocks(marked, id_col, "_t", make, placed=True)
+    table = B.blocks(marked, id_col, "_t", make, size=BLOCK_BYTES, placed=True)
     n_bytes = B.total_bytes(table)
     spark = docs.sparkSession
-    words_scale = B.Scale(B.Scale.of(n_bytes / 50, 0).buckets, 64)
+    words_scale = B.Scale.of(n_bytes / 50, 28)  # the counts of words have to be exact
     grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 18).bits)
     few = B.Scale(max(1, grams.buckets // 4), grams.bits)
 
