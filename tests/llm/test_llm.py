@@ -97,6 +97,20 @@ def test_near_duplicate_vectors(spark):
     assert all(got[i] == (0, i) for i in (5000, 5001, 5002))
 
 
+def test_near_duplicate_chains(spark):
+    """Middle members have a smaller neighbour on one side only; every class is a chain."""
+    turn = lambda d: [float(np.cos(np.radians(d))), float(np.sin(np.radians(d)))]
+    near = neardup.near_duplicates(spark.createDataFrame([(i, turn(d)) for i, d in zip((1, 10, 20, 2), (0, 15, 30, 45))], "vec_id long, embedding array<double>"))
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near.collect()} == {1: (1, 1, True), 10: (2, 1, False), 20: (2, 1, False), 2: (1, 1, False)}
+    rnd, rows = np.random.default_rng(8), []
+    for chain in range(12):
+        a, b = np.linalg.qr(rnd.normal(size=(16, 2)))[0].T
+        rows += [(a * np.cos(k * 0.25) + b * np.sin(k * 0.25)).tolist() for k in range(8)]
+    rows = list(zip(rnd.permutation(len(rows)).tolist(), rows))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == brute.cosine(rows)
+
+
 def test_jaccard_classes(spark, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(docs).collect()}
     assert got == brute.jaccard(corpus())

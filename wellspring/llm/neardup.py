@@ -176,6 +176,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
         edges = [np.unique(np.concatenate([e, np.array(b, np.int64)])) for e, b in zip(edges, back)]
         medoid = int((base @ base.mean(0)).argmax()) if nb else 0
         shards = [tuple(s) for s in group.column("shards").to_pylist()]
+        # Links that join what earlier ones have not: their classes are those of all links found here.
+        own = np.unique(ids, return_inverse=True)[1]
         out = []
         for q in range(nb, len(ids)) if nb else ():
             found = search(x[q], medoid, base, edges, threshold - 1e-9)
@@ -183,12 +185,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
             # A pair that shares several shards counts in the first of them.
             links = sum(int(times[f]) for f in found.tolist() if min(s for s in shards[f] if s in shards[q]) == shard)
             if len(found):
-                out.append((int(ids[q]), links, int(ids[found].min())))
-        return pa.table({"rep": pa.array([o[0] for o in out], pa.int64()), "links": pa.array([o[1] for o in out], pa.int64()), "to": pa.array([o[2] for o in out], pa.int64())})
+                joined, at = np.unique(own[found], return_index=True)
+                new = joined != own[q]
+                out.append((int(ids[q]), links, ids[found[at[new]]].tolist()))
+                own[np.isin(own, joined[new])] = own[q]
+        return pa.table({"rep": pa.array([o[0] for o in out], pa.int64()), "links": pa.array([o[1] for o in out], pa.int64()), "to": pa.array([o[2] for o in out], pa.list_(pa.int64()))})
 
-    found = base.select(columns).unionByName(asking.select(columns)).groupBy("d", "shard", "slice", "asks").applyInArrow(find, "rep long, links long, to long")
+    found = base.select(columns).unionByName(asking.select(columns)).groupBy("d", "shard", "slice", "asks").applyInArrow(find, "rep long, links long, to array<long>")
     found = stored(found, "found")
-    root = connected_components(found, "rep", "to").withColumnRenamed("node", "rep")
+    root = connected_components(found.select("rep", F.explode("to").alias("to")), "rep", "to").withColumnRenamed("node", "rep")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     of = reps.select("rep", "name", "n").join(links, "rep", "left").join(root, "rep", "left")
     of = of.select("name", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
