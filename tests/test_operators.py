@@ -13,6 +13,7 @@ from wellspring.operators import barcodes as B
 from wellspring.operators import expression as X
 from wellspring.operators import intervals as I
 from wellspring.operators import isoform as M
+from wellspring.plans.views import view
 from wellspring.sources import formats as S
 
 SF = "/root/testdata/sf0.001"
@@ -40,6 +41,17 @@ def test_query_equals_sql(spark, name):
     assert sorted([text(r[c]) for c in sorted(names)] for r in df.collect()) == want
 
 
+def test_views_hold_all_parts_suppliers_and_customers(spark):
+    sf = SF.replace("0.001", "0.01")
+    rows = {t: spark.read.parquet(f"{sf}/{t}.parquet") for t in ("part", "supplier", "customer")}
+    assert view(spark, sf, "exons").count() == 3 * rows["part"].count()
+    assert view(spark, sf, "observed").agg(F.sum("n")).first()[0] == rows["customer"].count()
+    for name, table, key in (("genes", "part", "p_partkey % 50"), ("wells", "supplier", "s_suppkey % 48"), ("expected", "supplier", "s_suppkey % 768"), ("whitelist", "supplier", "s_suppkey % 256")):
+        assert view(spark, sf, name).count() == rows[table].selectExpr(key).distinct().count(), name
+    genes = {r.gene for r in registry.queries()["i10_segments"](spark, sf).collect()}
+    assert genes == {r.gene for r in view(spark, sf, "exons").collect()}
+
+
 def test_hamming(spark):
     h = lambda a, b: value(spark, E.hamming(F.lit(a), F.lit(b)))
     assert (h("ATTGCGCAATG", "ATTGCGCAATA"), h("TTTGCGCAATA", "ATTGCGCAATG"), h("A", "AC")) == (1, 2, 1)

@@ -25,12 +25,12 @@ VIEWS = {
         SELECT 'G' || lpad(cast(p_partkey % 50 as string), 3, '0') AS gene, 'T' || lpad(cast(p_partkey % 200 as string), 4, '0') AS tx,
                'chr' || cast(1 + p_partkey % 5 as string) AS chrom, CASE WHEN p_partkey % 10 < 5 THEN '+' ELSE '-' END AS strand,
                cast(600 * (p_partkey % 50) + 150 * k + p_size AS bigint) AS "start", cast(600 * (p_partkey % 50) + 150 * k + p_size + 40 + p_partkey % 30 AS bigint) AS "end"
-        FROM part, (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) ks WHERE p_partkey <= 400""",
-    "wells": "SELECT DISTINCT 'P1' || chr(cast(65 + s_suppkey % 16 as int)) || cast(1 + s_suppkey % 24 as string) AS well FROM supplier WHERE s_suppkey % 7 <> 0",
-    "genes": "SELECT DISTINCT 'G' || lpad(cast(p_partkey % 50 as string), 3, '0') AS gene FROM part WHERE p_partkey % 50 < 45",
-    "expected": f"SELECT DISTINCT 'P1' || chr(cast(65 + s_suppkey % 16 as int)) || cast(1 + s_suppkey % 24 as string) AS \"wellID\", {_base4('s_suppkey % 256')} AS barcode, CASE WHEN s_suppkey % 2 = 0 THEN 'umi' ELSE 'internal' END AS kind FROM supplier WHERE s_suppkey < 250",
-    "whitelist": f"SELECT DISTINCT {_base4('s_suppkey % 256')} AS barcode FROM supplier WHERE s_suppkey % 5 = 0",
-    "observed": f"SELECT {_base4('(c_custkey * 7) % 256')} AS \"XC\", count(*) AS n FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1",
+        FROM part, (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) ks""",
+    "wells": "SELECT DISTINCT 'P1' || chr(cast(65 + s_suppkey % 16 as int)) || cast(1 + s_suppkey % 24 as string) AS well FROM supplier",
+    "genes": "SELECT DISTINCT 'G' || lpad(cast(p_partkey % 50 as string), 3, '0') AS gene FROM part",
+    "expected": f"SELECT DISTINCT 'P1' || chr(cast(65 + s_suppkey % 16 as int)) || cast(1 + s_suppkey % 24 as string) AS \"wellID\", {_base4('s_suppkey % 256')} AS barcode, CASE WHEN s_suppkey % 2 = 0 THEN 'umi' ELSE 'internal' END AS kind FROM supplier",
+    "whitelist": f"SELECT DISTINCT {_base4('s_suppkey % 256')} AS barcode FROM supplier",
+    "observed": f"SELECT {_base4('(c_custkey * 7) % 256')} AS \"XC\", count(*) AS n FROM customer GROUP BY 1",
     "candidates": f"SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'manual' ELSE 'auto' END AS candidate_type, cast(r_regionkey as string) AS candidate_id, 'P1A' || cast(1 + n_nationkey % 12 as string) AS \"wellID\", {_base4('n_nationkey * 5 + r_regionkey')} AS barcode, CASE WHEN r_regionkey % 2 = 0 THEN 'umi' ELSE 'internal' END AS barcode_type FROM nation, region",
     "quals": "SELECT doc_id, substr(regexp_replace(text, '[^ -~]', '', 'g'), 1, 60) AS q1, substr(regexp_replace(text, '[^ -~]', '', 'g'), 61, 40) AS q2 FROM documents",
     "samples": "SELECT 'G' || lpad(cast(l_partkey % 50 as string), 3, '0') AS gene, 'S' || cast(l_suppkey % 6 as string) AS sample, count(*) AS n FROM lineitem GROUP BY 1, 2",
