@@ -52,6 +52,14 @@ def test_views_hold_all_parts_suppliers_and_customers(spark):
     assert genes == {r.gene for r in view(spark, sf, "exons").collect()}
 
 
+def test_quality_strings_hold_whole_texts(spark):
+    texts = {r.doc_id: "".join(c for c in r.text or "" if " " <= c <= "~") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = view(spark, SF, "quals").collect()
+    assert sum(len(r.q1) + len(r.q2) for r in rows) == sum(map(len, texts.values())) and {r.doc_id for r in rows} == set(texts)
+    long = max(texts, key=lambda i: len(texts[i]))
+    assert sorted(r.q1 + r.q2 for r in rows if r.doc_id == long) == sorted(texts[long][i : i + 100] for i in range(0, len(texts[long]), 100))
+
+
 def test_hamming(spark):
     h = lambda a, b: value(spark, E.hamming(F.lit(a), F.lit(b)))
     assert (h("ATTGCGCAATG", "ATTGCGCAATA"), h("TTTGCGCAATA", "ATTGCGCAATG"), h("A", "AC")) == (1, 2, 1)
