@@ -172,6 +172,14 @@ def test_languages(spark):
     assert all(got[i].lang_pred == x for i, _, x in rows[80:]) and all(got[i].lang_pred == "und" for i in (900, 901, 902))
 
 
+def test_texts_without_letters_have_no_language(spark):
+    rows = [(i, "the wh of tion", "en") for i in range(8)] + [(10 + i, "der keit und sch", "de") for i in range(8)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = ["\u2014", "12 \u2026 7", "\u20ac 5", "\u2605\u2605 \u2605", "\u0661\u0662\u0663", "\u00bd \u00b2"]
+    got = langid.predict(spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "\u2014 \u00fcber"])], "doc_id long, text string"), model).collect()
+    assert [(r.lang_pred, r.score) for r in sorted(got)[:-1]] == [("und", 0.0)] * len(texts) and max(got).lang_pred in ("de", "en")
+
+
 def test_url_rules(spark):
     urls = ["https://A.example.com/en/7x?q", "http://example.com/en/8", "x.net/de/1", "http://example.net/de/81#a", "http://net/de/", None, "http://badnet/de/1", "ftp://h.org?/es/"]
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, rule string")

@@ -30,7 +30,7 @@ def family_of(lang: str, families: Mapping[str, Sequence[str]] = FAMILIES) -> st
 
 def words_of(text: str) -> list[str]:
     """Lower-cased words that hold a letter."""
-    return [w for w in text.lower().split() if not w.isascii() or w.upper() != w]
+    return [w for w in text.lower().split() if (w.upper() != w if w.isascii() else any(c.isalpha() for c in w))]
 
 
 def word_features(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
