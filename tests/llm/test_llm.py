@@ -162,6 +162,19 @@ def test_toxicity_separates_spoilt_insults():
     assert bad > 0.5 and spoilt > good and good < 0.5 and none < 0.5
 
 
+def test_toxicity_learns_rare_insults():
+    """Each insult is in three toxic texts, too few for a list of words."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdeghiklmnorstu") for _ in range(rnd.randint(3, 8)))
+    clean, insults = [word() for _ in range(300)], [f"zq{word()}vxz" for _ in range(30)]
+    text = lambda bad: " ".join([rnd.choice(clean) for _ in range(40)] + bad)
+    texts = [text([w, w]) for w in insults for _ in range(3)] + [text([]) for _ in range(300)]
+    scorer = toxicity.Scorer(toxicity.Model(texts, [1] * 90 + [0] * 300))
+    bad, good = scorer.scores([text([w, w]) for w in insults]), scorer.scores([text([]) for _ in range(30)])
+    assert sum(s > 0.5 for s in bad) >= 27 and sum(s > 0.5 for s in good) <= 3
+    assert len(scorer.model.beta) and toxicity.words_of("ab x " + "k" * 60)[0] == "ab" and sum(map(len, toxicity.words_of("k" * 60))) >= 60
+
+
 def test_languages(spark):
     rnd = random.Random(5)
     make = {"en": "the of and ing tion wh th", "de": "der und sch ung keit ein zu", "fr": "le des eau tion é que ou", "es": "el los ción ado que ñ ar"}
