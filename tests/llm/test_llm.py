@@ -111,6 +111,15 @@ def test_near_duplicate_chains(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == brute.cosine(rows)
 
 
+def test_near_duplicates_are_found_across_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SHARD", 25)
+    monkeypatch.setattr(neardup, "SLICE", 20)
+    rnd = np.random.default_rng(3)
+    base = rnd.normal(size=(60, 16))
+    rows = [(i, (base[i % 60] + 0.12 * rnd.normal(size=16)).tolist()) for i in range(1000)] + [(2000 + i, [1.0] * 16) for i in range(50)]
+    assert neardup.audit(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=3) >= 0.9
+
+
 def test_jaccard_classes(spark, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(docs).collect()}
     assert got == brute.jaccard(corpus())

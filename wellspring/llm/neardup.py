@@ -111,7 +111,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     ``n_links`` counts other rows linked directly, copies included; ``component_id`` is the smallest id that links
     reach; ``kept`` marks it. Vectors that are null, empty, zero or hold null or non-finite components, and rows with
     a null id, link with nothing. Vectors of different length link with nothing. Rows that repeat an id with the same
-    vector are one row; an empty table gives an empty one. The search is approximate: ``recall`` audits it.
+    vector are one row; an empty table gives an empty one. The search is approximate: ``audit`` measures it.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"), (usable(vec_col) & F.coalesce(F.exists(vec_col, lambda c: c != 0), F.lit(False)) & F.col(id_col).isNotNull()).alias("ok")).distinct()
     ok = rows.where("ok").select("vec_id", F.transform("v", lambda c: c.cast("double") + F.lit(0.0)).alias("v"))
@@ -218,3 +218,10 @@ def recall(vectors: DataFrame, result: DataFrame, every: int = 50, threshold: fl
     got = result.select(F.col("vec_id").alias("id"), "n_links")
     r = true.join(got, "id").agg(F.sum("n"), F.sum(F.least("n", "n_links"))).first()
     return 1.0 if not r[0] else float(r[1]) / float(r[0])
+
+
+def audit(vectors: DataFrame, every: int = 50, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> float:
+    """``recall`` of links between different vectors: one row stands for its copies, so that these don't count."""
+    ok = vectors.where(usable(vec_col) & F.exists(vec_col, lambda c: c != 0) & F.col(id_col).isNotNull())
+    single = stored(ok.groupBy(F.col(vec_col).alias("v")).agg(F.min(F.col(id_col).cast("long")).alias("id")), "single")
+    return recall(single, near_duplicates(single, threshold, "id", "v"), every, threshold, "id", "v")
