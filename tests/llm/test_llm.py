@@ -85,6 +85,13 @@ def test_pst_base_scores_and_gain(docs):
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
 
 
+def test_pst_keys_have_bits_to_spare(spark, docs, monkeypatch):
+    spare, of = [], pst.B.Scale.of
+    monkeypatch.setattr(pst.B.Scale, "of", staticmethod(lambda keys, bits: spare.append(bits) or of(keys, bits)))
+    pst.score(docs, queries.fold("doc_id", 10) != 0)
+    assert sorted(spare) == [0, 24, 28]
+
+
 def test_near_duplicate_vectors(spark):
     rnd = np.random.default_rng(2)
     base = rnd.normal(size=(40, 16))

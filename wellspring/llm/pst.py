@@ -28,6 +28,9 @@ from .shared import release, stored
 
 #: Text of a block: the larger, the fewer blocks ask for the same key, and the more memory a worker needs.
 BLOCK_BYTES = 12 << 20
+#: Bits that keys of words, and of contexts and grams, have to spare: two of them share a count with odds of 2**-bits
+#: for each key, if there are as many keys as estimated (a word in 50 bytes, a context or gram in 8).
+WORD_BITS, GRAM_BITS = 28, 24
 
 
 #: Occurrences that a context needs, the bound of the divergence test (nats), the weight of the parent in the test, and
@@ -181,7 +184,8 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     space, A-Z lower-cased, and one end; null texts are empty and have the end only. ``n_known`` counts tokens seen in
     learnt rows, ``train_tokens`` all tokens learnt, ``base_score`` and ``score`` are log10 probabilities of order 0 and
     of the tree. With nothing to learn from all tokens are alike unknown. Rows with a null id are not learnt and get
-    null scores; rows that repeat an id are scored each. Words are told apart by 64-bit hashes.
+    null scores; rows that repeat an id are scored each. Words are told apart by 64-bit
+    hashes cut to WORD_BITS to spare, contexts and grams to GRAM_BITS, so a few may share counts. Contexts have up to ``depth`` words.
     """
     flag = F.coalesce(learn, F.lit(False))
     marked = docs.select(F.col(id_col), F.concat(F.when(flag, F.lit("1")).otherwise("0"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_t"))
@@ -192,8 +196,8 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     table = B.blocks(marked, id_col, "_t", make, size=BLOCK_BYTES, placed=True)
     n_bytes = B.total_bytes(table)
     spark = docs.sparkSession
-    words_scale = B.Scale.of(n_bytes / 50, 28)  # the counts of words have to be exact
-    grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, 18).bits)
+    words_scale = B.Scale.of(n_bytes / 50, WORD_BITS)  # the counts of words have to be exact
+    grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, GRAM_BITS).bits)
     few = B.Scale(max(1, grams.buckets // 4), grams.bits)
 
     answers = {
