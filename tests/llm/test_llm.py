@@ -134,6 +134,41 @@ def test_jaccard_classes(spark, docs):
     assert {tuple(r) for r in ngram_join.jaccard_classes(nameless).collect()} == {(None, 2, None), (3, 0, 3)}
 
 
+def test_trie_walk_finds_what_brute_force_finds_and_leaves_subtrees_early():
+    rnd = random.Random(2)
+    for _ in range(120):
+        u = rnd.choice([30, 200, 2000])
+        base, sets = rnd.sample(range(u), rnd.randint(1, u // 2)), []
+        for _ in range(rnd.choice([0, 1, 5, 40])):
+            own = set(base if rnd.random() < 0.6 else rnd.sample(range(u), rnd.randint(1, u // 2)))
+            for _ in range(rnd.randint(0, max(1, len(own) // 5))):
+                own ^= {rnd.randrange(u)}
+            sets.append(np.array(sorted(own | {rnd.randrange(u)}), np.uint64))
+        x = np.array(sorted(set(base) | {rnd.randrange(u)}), np.uint64)
+        both = [len(np.intersect1d(x, s)) for s in sets]
+        assert sorted(ngram_join.SetTrie(sets).linked(x, 75)) == [(i, o) for i, (s, o) in enumerate(zip(sets, both)) if 100 * o >= 75 * (len(x) + len(s) - o)]
+    trie = ngram_join.SetTrie([np.arange(k, k + 900, dtype=np.uint64) for k in range(0, 5000, 10)])
+    assert trie.linked(np.arange(10_000, 10_900, dtype=np.uint64), 75) == [] and trie.visited < 3 * len(trie.parent) // 4
+
+
+def test_jaccard_classes_of_a_dense_group(spark, monkeypatch):
+    """Near copies whose similarity lies around the limit, over several blocks, slices and bands of sizes."""
+    monkeypatch.setattr(ngram_join, "FEW", 4)
+    monkeypatch.setattr(ngram_join, "GROUP", 15)
+    monkeypatch.setattr(ngram_join.B, "BLOCK_BYTES", 4000)
+    rnd, rows = random.Random(9), []
+    for base in range(3):
+        words = [f"w{rnd.randrange(400)}" for _ in range(60 + 30 * base)]
+        for _ in range(50):
+            own = list(words)
+            for _ in range(rnd.randint(1, 5)):
+                own[rnd.randrange(len(own))] = f"x{rnd.randrange(10_000)}"
+            rows.append((len(rows), " ".join(own[: len(own) - rnd.randint(0, 20)])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    want = brute.jaccard(rows)
+    assert got == want and 3 < len({c for _, c in want.values()}) < 150
+
+
 def test_repeats_are_removed(spark, docs):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix_dedup.remove_repeats(docs, 100, carry=("source",)).collect()}
     assert got == brute.repeats(corpus())

@@ -144,6 +144,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., byte
                 rest.append(batch.slice(begin).select(range(2, batch.num_columns)))
         if ids:
             yield done()
+        del ids, texts, rest
+        trim()
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"), *carry)
     packed = rows.mapInArrow(run, "block long, payload binary, n_bytes long")
@@ -260,7 +262,9 @@ def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, byt
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         trim()
-        return fn(left.column("block")[0].as_py(), left.column("payload")[0].as_py(), right)
+        out = fn(left.column("block")[0].as_py(), left.column("payload")[0].as_py(), right)
+        trim()  # a worker that waits holds nothing of the last block
+        return out
 
     # An answer never lacks its block; a block without any key has no answer.
     return table.select("block", "payload").groupBy("block").cogroup(every.groupBy("block")).applyInArrow(run, schema)

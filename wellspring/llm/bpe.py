@@ -14,6 +14,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -34,7 +35,9 @@ WORDS = word_pattern(r"\p{L}", r"\p{N}", _SPACE)
 LATIN_WORDS = word_pattern(r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0")
 BEYOND_LATIN = "[ɐ-\U0010ffff]"
 #: Encodings a worker keeps between batches, the longest in bytes, and token pairs; beyond it a memory is emptied.
-KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 400_000, 64, 800_000
+KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 400_000, 64, 300_000
+#: Rows and bytes of text that are Python objects at a time (one text at least), and the words of one trie.
+ROWS, TEXT_BYTES, TRIE_WORDS = 256, 1 << 20, 10_000
 
 
 def byte_spelling() -> dict[str, int]:
@@ -95,7 +98,15 @@ class Vocabulary:
         return out[::-1]
 
     def encode_words(self, words: set[str]) -> dict[str, bytes]:
-        """Packed ids of each word: a trie of all words, walked depth first with the last tokens along the path."""
+        """Packed ids of each word, through tries of so many neighbours in order that their memory is bounded."""
+        rising = sorted(words)
+        out: dict[str, bytes] = {}
+        for i in range(0, len(rising), TRIE_WORDS):
+            out |= self._encode_trie(rising[i : i + TRIE_WORDS])
+        return out
+
+    def _encode_trie(self, words: list[str]) -> dict[str, bytes]:
+        """A trie of the words, walked depth first with the last tokens along the path."""
         out: dict[str, bytes] = {}
         root: dict = {}
         for word in words:
@@ -189,20 +200,33 @@ def _encode_rows(texts: list[str], vocab: Vocabulary, cut, words_of, kept_words:
     return packed
 
 
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded rows and bytes, however long its texts are and however they are sorted."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    begin = held = 0
+    for n, s in enumerate(size):
+        if n > begin and (held + s > TEXT_BYTES or n - begin == ROWS):
+            yield batch.slice(begin, n - begin)
+            begin, held = n, 0
+        held += s
+    if begin < len(size):
+        yield batch.slice(begin)
+
+
 def _encoder(spec: str, text_col: str, verify: bool, kept_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
         vocab, words_of = _vocabulary(spec), _splitter()
         cut = re.compile("|".join(map(re.escape, sorted(vocab.special, key=len, reverse=True)))) if vocab.special else None
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):  # bounds what is held as Python objects
-                rows = batch.slice(start, 256)
+            for rows in _parts(batch, text_col):
                 texts = [t or "" for t in rows.column(text_col).to_pylist()]
                 packed = _encode_rows(texts, vocab, cut, words_of, kept_words)
                 more = {"n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64()), "ids": pa.array(packed, pa.binary())}
                 if verify:
                     more["round_trip"] = pa.array([_decode(p, vocab.spelt) == t for p, t in zip(packed, texts)])
                 yield pa.RecordBatch.from_arrays([*rows.columns, *more.values()], names=[*rows.schema.names, *more])
+        trim()
 
     return run
 
@@ -224,8 +248,7 @@ def _decoder(spec: str, ids_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelt = _spelling(spec)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
+            for rows in _parts(batch, ids_col):
                 texts = [_decode(p or b"", spelt) for p in rows.column(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], names=[*rows.schema.names, "decoded"])
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import svm
+from .blocks import trim
 
 #: ISO 639-1 codes by family. Languages that aren't listed form a family each.
 FAMILIES = {
@@ -182,6 +183,8 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             parts = [scorer.predict([t or "" for t in batch.iloc[i : i + 256]]) for i in range(0, len(batch), 256)]
             yield pd.DataFrame({"lang_pred": [x for p in parts for x in p[0]], "score": [x for p in parts for x in p[1]]})
+        del scorer
+        trim()
 
     out = F.pandas_udf(run, "lang_pred string, score double")
     return df.drop("lang_pred", "score").withColumn("_p", out(text_col)).select("*", "_p.*").drop("_p")

@@ -2,32 +2,34 @@
 
 The global order of n-grams is by document frequency, then by hash. Two sets that are similar enough share an n-gram in
 their first elements (n less the required overlap, plus one), and the first n-gram they share leaves enough elements
-after it; n-grams that no other set has never count. Candidate sets are put in a trie by the global order, below the
-set they are held against: a walk carries the overlap of shared prefixes on, and leaves a subtree as soon as what is
-left cannot reach the required overlap.
+after it; n-grams that no other set has never count. Candidate sets are put in a trie by the global order, which the
+set that they are held against walks: the overlap of shared prefixes is carried on, and a subtree is left as soon as
+what remains cannot reach the required overlap.
 
 Only classes are asked for, so candidates that are known to be in one class already are not compared again. First every
 set is held against one set that leads some of its n-grams, then against the leaders that are still in other classes;
-what these links leave undecided is compared in full.
+what these links leave undecided is compared in full: pair by pair where few sets have an n-gram, else by tries of all
+sets around the n-gram's largest class, so that a large group of near copies never becomes rows of pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
 from .shared import connected_components, merge_components, release, stored
 
-#: Sets verified against one other in a task, about.
+#: Sets of a trie in a task, about.
 GROUP = 2000
-#: Candidates from which on a set shares a task with others, and the slices of those.
-CROWD, HEADS = 100, 32
+#: Sets of a shingle up to which its pairs are rows; beyond, sets travel and a trie finds the pairs.
+FEW = 64
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,27 +71,106 @@ def needed(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def trie_overlaps(leader: np.ndarray, members: list[np.ndarray], percent: int) -> list[int]:
-    """Overlap of each member (in the global order) with the leader; -1 where it cannot reach what is needed.
+class SetTrie:
+    """Sets in the global order as a trie with compressed paths, walked level by level.
 
-    Members sorted by their sequences are the trie's leaves in depth-first order: a member shares the path up to its
-    common prefix with the one before it, and the overlap along that path.
+    A node holds a run of elements that all sets below it share; runs end where sets part, where a set ends, and at
+    depths that are powers of two, so that a long run can be left half way. A walk carries the overlap of each node's
+    path on to its children and leaves a subtree as soon as what remains of either side cannot reach the overlap needed.
     """
-    inside = [np.isin(m, leader) for m in members]
-    order = sorted(range(len(members)), key=lambda i: members[i].tolist())
-    out, path, over = [-1] * len(members), np.zeros(0, leader.dtype), np.zeros(1, np.int64)
-    for i in order:
-        m, least = members[i], needed(len(leader), len(members[i]), percent)
-        k = min(len(path), len(m))
-        differ = np.flatnonzero(path[:k] != m[:k])
-        shared = int(differ[0]) if len(differ) else k
-        # The path's counts up to the shared prefix are kept; only what follows is counted.
-        over = np.concatenate([over[: shared + 1], over[shared] + np.cumsum(inside[i][shared:])])
-        path = m
-        bound = over + np.minimum(len(m) - np.arange(len(m) + 1), len(leader) - over)
-        if int(bound.min()) >= least and int(over[-1]) >= least:
-            out[i] = int(over[-1])
-    return out
+
+    def __init__(self, sets: Sequence[np.ndarray]):
+        order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        self.alphabet = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]))
+        parent, begin, end, owner, low, high, ends_here = [-1], [0], [0], [-1], [1 << 60], [0], [[]]
+        stack = [0]  # the path to the last set, root first
+
+        def node(up: int, first: int, last: int, i: int) -> int:
+            parent.append(up), begin.append(first), end.append(last), owner.append(i)
+            low.append(1 << 60), high.append(0), ends_here.append([])
+            return len(parent) - 1
+
+        before = np.zeros(0, np.uint64)
+        for i in order:
+            own = sets[i]
+            k = min(len(own), len(before))
+            differ = np.flatnonzero(own[:k] != before[:k])
+            shared = int(differ[0]) if len(differ) else k
+            while end[stack[-1]] > shared and begin[stack[-1]] >= shared:
+                stack.pop()
+            top = stack[-1]
+            if end[top] > shared:  # the run is cut in two: the upper part is new, the rest stays below it
+                upper = node(parent[top], begin[top], shared, owner[top])
+                parent[top], begin[top] = upper, shared
+                stack[-1] = upper
+                low[upper], high[upper] = low[top], high[top]
+            depth = shared
+            while depth < len(own):
+                stop = min(len(own), max(16, 1 << depth.bit_length()))
+                stack.append(node(stack[-1], depth, stop, i))
+                depth = stop
+            ends_here[stack[-1]].append(i)
+            for n in stack:
+                low[n], high[n] = min(low[n], len(own)), max(high[n], len(own))
+            before = own
+        # Cutting a run moves what is below it one level down, so levels are counted once the trie stands.
+        children: list[list[int]] = [[] for _ in parent]
+        for n in range(1, len(parent)):
+            children[parent[n]].append(n)
+        rows, front = [], [0]
+        while front:
+            rows.append(front)
+            front = [c for n in front for c in children[n]]
+        every = [n for row in rows for n in row]
+        at = np.empty(len(parent), np.int64)
+        at[every] = np.arange(len(every))
+        self.levels = np.cumsum([0, *map(len, rows)])
+        self.parent = at[[max(0, parent[n]) for n in every]]
+        self.depth, self.low, self.high = (np.array([x[n] for n in every], np.int64) for x in (end, low, high))
+        runs = [sets[owner[n]][begin[n] : end[n]] if n else np.zeros(0, np.uint64) for n in every]
+        self.run = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+        self.elements = np.searchsorted(self.alphabet, np.concatenate(runs))
+        self.ends_here = [ends_here[n] for n in every]
+        self.full = np.array([len(e) > 0 for e in self.ends_here])
+        self.visited = 0
+
+    def linked(self, own: np.ndarray, percent: int) -> list[tuple[int, int]]:
+        """(number of the set, overlap) of all sets with 100 * overlap >= ``percent`` * union with ``own``."""
+        inside = np.zeros(len(self.alphabet) + 1, bool)
+        at = np.searchsorted(self.alphabet, own)
+        known = at < len(self.alphabet)
+        known[known] = self.alphabet[at[known]] == own[known]
+        inside[at[known]] = True
+        # Elements of own up to and with each element of the trie's alphabet.
+        upto = np.searchsorted(own, self.alphabet, "right")
+        out, n = [], len(own)
+        nodes, over = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        overlap = np.zeros(len(self.parent), np.int64)
+        for k in range(len(self.levels) - 1):
+            if k:
+                nodes = np.arange(self.levels[k], self.levels[k + 1])
+                nodes = nodes[overlap[self.parent[nodes]] >= 0]
+                if len(nodes) == 0:
+                    overlap[self.levels[k] : self.levels[k + 1]] = -1
+                    break
+                first, size = self.run[nodes], self.run[nodes + 1] - self.run[nodes]
+                begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+                here = self.elements[np.repeat(first - begin, size) + np.arange(int(size.sum()))]
+                over = overlap[self.parent[nodes]] + np.add.reduceat(inside[here].astype(np.int64), begin)
+                left = n - upto[here[begin + size - 1]]
+                self.visited += len(nodes)
+            else:
+                left = np.full(1, n)
+            depth = self.depth[nodes]
+            if self.full[nodes].any():
+                for j in np.flatnonzero(self.full[nodes] & ((100 + percent) * over >= percent * (n + depth))).tolist():
+                    out += [(i, int(over[j])) for i in self.ends_here[nodes[j]]]
+            # The best size below a node is the one at which both sides run out together.
+            best = np.clip(depth + left, self.low[nodes], self.high[nodes])
+            alive = (100 + percent) * (over + np.minimum(left, best - depth)) >= percent * (n + best)
+            overlap[self.levels[k] : self.levels[k + 1]] = -1
+            overlap[nodes] = np.where(alive, over, -1)
+        return out
 
 
 _ROWS = "kind int, a long, b long, c int, d int, payload binary"
@@ -200,41 +281,76 @@ def _classes(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     checked = checked.unionByName(more)
     root = stored(merge_components(root, more.where("linked"), "a", "b"), "classes")
     of = rooted()
-    # Shingles of more than one class: sets outside the shingle's largest class are compared with all others of it.
+    # Shingles of more than one class: sets outside the shingle's largest class against all others of it.
     per = of.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per.groupBy("token").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", F.col("most.root").alias("main"))
-    rest = of.join(mixed, "token")
-    minor = rest.where("root <> main")
-    cross = minor.alias("x").join(rest.alias("y"), "token").where((F.col("x.root") != F.col("y.root")) & _positional(percent))
+    mixed = per.groupBy("token").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("sets"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    rest = stored(of.join(mixed.select("token", F.col("most.root").alias("main"), "sets"), "token"), "mixed")
+    few = rest.where(F.col("sets") <= FEW)
+    cross = few.where("root <> main").alias("x").join(few.alias("y"), "token").where((F.col("x.root") != F.col("y.root")) & _positional(percent))
     last = cross.select(*both).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(_verify(stored(last, "pairs"), sets, percent), "links")
-    return stored(merge_components(root, more.where("linked"), "a", "b"), "classes")
+    links = _verify(stored(last, "pairs"), sets, percent).where("linked").select("a", "b")
+    links = stored(links.unionByName(_hubs(rest.where(F.col("sets") > FEW), sets, percent)), "links")
+    return stored(merge_components(root, links, "a", "b"), "classes")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): b's set against a's, by the trie of a slice of a's candidates.
+def _hubs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the classes of shingles that more than FEW sets have.
 
-    Sets with many candidates are put together (those of one dense group share their largest candidate), so that a
-    candidate travels once for all of them, and not once a pair.
+    Around the largest class of such a shingle, its hub, all sets outside it are held against all sets of the hub's
+    shingles, by a trie of those. No row stands for a pair: sets travel, once for each slice of what they are held
+    against, and links come back that join classes which the slice's other links have not. Linked sets differ in size
+    by ``percent`` at most, so sets of one band of sizes meet those of this band and its neighbours only.
     """
-    own = Window.partitionBy("a")
-    many = F.count(F.lit(1)).over(own) >= CROWD
-    key = F.when(many, F.concat_ws("-", F.max("b").over(own), F.pmod(F.xxhash64("a"), F.lit(HEADS)))).otherwise(F.col("a").cast("string"))
-    met = pairs.withColumn("key", key).groupBy("key", "b").agg(F.collect_list("a").alias("heads"))
-    slices = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("key")) / GROUP).cast("int")
-    met = met.withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("b"), "slices").cast("int"))
-    every = met.groupBy("key", "slice").agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"))
-    heads = every.select("key", "slice", F.explode("heads").alias("b"), F.lit(None).cast("array<long>").alias("heads"))
-    held = met.select("key", "slice", "b", "heads").unionByName(heads).join(sets.withColumnRenamed("set_id", "b"), "b")
+    # A little less than the logarithm, so that rounding never sets linked sets two bands apart.
+    band = F.floor(F.log(F.col("size").cast("double")) * ((1 - 1e-9) / math.log(max(1.01, 100 / percent))))
+    sized = rest.groupBy("main", "set_id").agg(F.first("root").alias("root"), F.first("size").alias("size")).withColumn("band", band)
+    of = sized.select("main", "set_id", "root", "band")
+    ask = of.where("root <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    slices = lambda n: F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias(n)
+    cut = of.groupBy("main", "band").agg(slices("held")).join(ask.groupBy("main", "band").agg(slices("asking")), ["main", "band"])
+    to = lambda n, by: F.explode(F.sequence(F.lit(0), F.col(by) - 1)).alias(n)
+    own = lambda by: F.pmod(F.xxhash64("set_id"), F.col(by)).cast("int")
+    base = of.join(cut, ["main", "band"]).withColumn("i", own("held")).select("main", "band", "i", to("j", "asking"), "set_id", "root", F.lit(True).alias("base"))
+    asks = ask.join(cut, ["main", "band"]).withColumn("j", own("asking")).select("main", "band", to("i", "held"), "j", "set_id", "root", F.lit(False).alias("base"))
+    met = base.select("main", "band", "i", "j", "set_id", "root", "base").unionByName(asks.select("main", "band", "i", "j", "set_id", "root", "base"))
+
+    def run(group: pa.Table) -> pa.Table:
+        B.trim()
+        group = group.sort_by([("base", "descending"), ("set_id", "ascending")])
+        ids, roots, base = (group.column(c).to_pylist() for c in ("set_id", "root", "base"))
+        found = [B.unpack(p.as_py(), rising=True)[0] for p in group.column("payload")]
+        n = sum(base)
+        trie, up, out = SetTrie(found[:n]), {}, []
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        for k in range(n, len(ids)):
+            for i, _ in trie.linked(found[k], percent):
+                x, y = top(roots[k]), top(roots[i])
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    out.append((min(ids[k], ids[i]), max(ids[k], ids[i])))
+        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
+
+    return met.join(sets, "set_id").groupBy("main", "band", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked): a's set walks the trie of its candidates b, in slices if there are many of them."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("slices")).where("slices > 1")
+    met = pairs.join(many, "a", "left").select("a", F.pmod(F.xxhash64("b"), F.coalesce("slices", F.lit(1))).cast("int").alias("slice"), "b", F.lit(False).alias("head"))
+    heads = met.select("a", "slice").distinct().select("a", "slice", F.col("a").alias("b"), F.lit(True).alias("head"))
+    held = met.unionByName(heads).join(sets.withColumnRenamed("set_id", "b"), "b")
 
     def run(group: pa.Table) -> pa.Table:
-        b, of = group.column("b").to_pylist(), group.column("heads").to_pylist()
-        found = {k: B.unpack(p.as_py(), rising=True)[0] for k, p in zip(b, group.column("payload"))}
-        under: dict[int, list[int]] = {}
-        for k, own in zip(b, of):
-            for a in own or ():
-                under.setdefault(a, []).append(k)
-        out = [(a, k, x >= 0) for a, own in under.items() for k, x in zip(own, trie_overlaps(found[a], [found[k] for k in own], percent))]
-        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64()), "linked": pa.array([o[2] for o in out], pa.bool_())})
-
-    return held.groupBy("key", "slice").applyInArrow(run, "a long, b long, linked boolean")
+        a, b, head = group.column("a")[0].as_py(), group.column("b").to_pylist(), group.column("head").to_pylist()
+        found = [B.unpack(p.as_py(), rising=True)[0] for p in group.column("payload")]
+        own = found[head.index(True)]
+        under = [i for i, h in enumerate(head) if not h]
+        hit = {i for i, _ in SetTrie([found[i] for i in under]).linked(own, percent)}
+        return pa.table({"a": pa.array([a] * len(under), pa.int64()), "b": pa.array([b[i] for i in under], pa.int64()), "linked": pa.array([k in hit for k in range(len(under))], pa.bool_())})
+
+    return held.groupBy("a", "slice").applyInArrow(run, "a long, b long, linked boolean")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import svm
+from .blocks import trim
 from .langid import sample
 
 DECAY, SPAN, WIDTH, KEPT_WORDS = 0.6, 6, 26, 400_000
@@ -212,6 +213,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         scorer = Scorer(sent.value)
         for batch in batches:
             yield pd.Series([x for i in range(0, len(batch), 256) for x in scorer.scores([t or "" for t in batch.iloc[i : i + 256]])], dtype="float64")
+        del scorer
+        trim()
 
     out = df.drop("score", "predicted").withColumn("score", F.pandas_udf(run, "double")(text_col))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
