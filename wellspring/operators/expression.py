@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exprs as E
 
@@ -32,33 +35,77 @@ def umi_counts(reads: DataFrame) -> DataFrame:
     return reads.groupBy("well", "gene", F.when(F.col("re") == "N", "intron").otherwise("exon").alias("ftype"), "umi").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _within(a: Column, b: Column, t: int) -> Column:
-    return (F.length(a) == F.length(b)) & (E.hamming(a, b) <= t)
+def _stars(keys: int, threshold: int):
+    """Streams rows (keys, umi, carried columns), sorted by keys, falling count and UMI, and adds each UMI's parent.
 
+    A centre leaves its texts with ``threshold`` letters blanked; a later UMI of its length within that many
+    substitutions has one of them too. So a UMI costs its blanked texts, however many centres there are.
+    """
 
-def cluster(counts: DataFrame, keys: Sequence[str], threshold: int = 1) -> DataFrame:
-    """(keys, umi, parent): greedy stars in the order of falling count, then UMI.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, first, centres = None, {}, []
+        blanks: dict[int, list[tuple[int, ...]]] = {}
+        for batch in batches:
+            groups = list(zip(*(batch.column(i).to_pylist() for i in range(keys))))
+            out = []
+            for group, umi in zip(groups, batch.column(keys).to_pylist()):
+                if group != at:
+                    at, first, centres = group, {}, []
+                places = blanks.get(len(umi))
+                if places is None:
+                    places = blanks[len(umi)] = list(combinations(range(len(umi)), min(threshold, len(umi))))
+                masks = []
+                for own in places:
+                    m, begin = "", 0
+                    for i in own:
+                        m += umi[begin:i] + "*"
+                        begin = i + 1
+                    masks.append(m + umi[begin:])
+                near = min((first[m] for m in masks if m in first), default=None)
+                if near is None:
+                    for m in masks:
+                        first.setdefault(m, len(centres))
+                    centres.append(umi)
+                    out.append(umi)
+                else:
+                    out.append(centres[near])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "parent"])
+
+    return run
+
+
+def clustered(rows: DataFrame, keys: Sequence[str], threshold: int = 1, n: str = "n") -> DataFrame:
+    """``rows`` (keys, umi, n, more), one a UMI, with ``parent``: greedy stars in the order of falling count, then UMI.
 
     A UMI within ``threshold`` substitutions of an earlier centre joins the first such centre, else becomes one; joined
-    UMIs attract none. Centres are the first maximal independent set in that order, so a fold over the sorted distinct
-    UMIs of a group is exact. Groups are those of a cell's gene; their reads are added up before the shuffle.
+    UMIs attract none. Groups are dealt by their keys, sorted, and streamed: none is held as a row or an array.
     """
-    rows = counts.groupBy(*keys, "umi").agg(F.sum("n").alias("n"))
     if threshold <= 0:
-        return rows.select(*keys, "umi", F.col("umi").alias("parent"))
-    own = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "umi"))).alias("l"))
-    centre = lambda acc, e: F.when(F.exists(acc, lambda k: _within(k, e["umi"], threshold)), acc).otherwise(F.array_append(acc, e["umi"]))
-    own = own.withColumn("cs", F.aggregate("l", F.array().cast("array<string>"), centre))
-    out = own.select(*keys, "cs", F.explode("l.umi").alias("umi"))
-    return out.select(*keys, "umi", F.try_element_at(F.filter("cs", lambda k: _within(k, F.col("umi"), threshold)), F.lit(1)).alias("parent"))
+        return rows.withColumn("parent", F.col("umi"))
+    more = [c for c in rows.columns if c not in (*keys, "umi")]
+    dealt = rows.select(*keys, "umi", *more).where("umi IS NOT NULL").repartition(*keys).sortWithinPartitions(*keys, F.desc(n), "umi")
+    return dealt.mapInArrow(_stars(len(keys), threshold), T.StructType([*dealt.schema.fields, T.StructField("parent", T.StringType())]))
+
+
+def cluster(counts: DataFrame, keys: Sequence[str], threshold: int = 1) -> DataFrame:
+    """(keys, umi, parent) of counts by UMI, added up over types: ``clustered``."""
+    rows = counts.groupBy(*keys, "umi").agg(F.sum("n").alias("n"))
+    return clustered(rows, keys, threshold).select(*keys, "umi", "parent")
 
 
-def umi_matrix(counts: DataFrame, parents: DataFrame) -> DataFrame:
-    """(well, gene, ftype, n) of distinct parents, clustered jointly; ``inex`` is the union of both types, not the sum."""
-    met = counts.join(parents, ["well", "gene", "umi"]).select("well", "gene", "ftype", "parent").distinct()
-    each = met.groupBy("well", "gene", "ftype").agg(F.count(F.lit(1)).alias("n"))
-    union = met.groupBy("well", "gene", "parent").agg(F.lit(1)).groupBy("well", "gene").agg(F.count(F.lit(1)).alias("n"))
-    return each.unionByName(union.select("well", "gene", F.lit("inex").alias("ftype"), "n"))
+def umi_types(reads: DataFrame) -> DataFrame:
+    """(well, gene, umi, n, exon, intron): reads of each UMI of both types, and whether it has the type."""
+    inner = F.col("re") == "N"
+    return reads.groupBy("well", "gene", "umi").agg(F.count(F.lit(1)).alias("n"), F.max(~inner).alias("exon"), F.max(inner).alias("intron"))
+
+
+def umi_matrix(parents: DataFrame) -> DataFrame:
+    """(well, gene, ftype, n) of distinct parents from ``umi_types`` clustered jointly; ``inex`` is the union of both types."""
+    each = parents.groupBy("well", "gene", "parent").agg(F.max("exon").alias("exon"), F.max("intron").alias("intron"))
+    n = lambda c: F.count(F.when(F.col(c), 1)) if c else F.count(F.lit(1))
+    wide = each.groupBy("well", "gene").agg(n("exon").alias("exon"), n("intron").alias("intron"), n("").alias("inex"))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("ftype"), F.col(k).alias("n")) for k in ("exon", "intron", "inex")]))
+    return wide.select("well", "gene", kinds.alias("k")).select("well", "gene", "k.ftype", "k.n").where("n > 0")
 
 
 def corrected(reads: DataFrame, parents: DataFrame) -> DataFrame:
@@ -68,9 +115,9 @@ def corrected(reads: DataFrame, parents: DataFrame) -> DataFrame:
     return met.join(known, ["well", "gene"], "left").withColumn("ub", F.when(F.col("_known"), F.coalesce("parent", "umi"))).drop("parent", "_known")
 
 
-def frequency(counts: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(reads, freq): how many corrected UMIs have how many reads."""
-    per = counts.join(parents, [*keys, "umi"]).groupBy(*keys, "parent").agg(F.sum("n").cast("long").alias("reads"))
+def frequency(parents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(reads, freq): how many corrected UMIs have how many reads, of rows (keys, parent, n)."""
+    per = parents.groupBy(*keys, "parent").agg(F.sum("n").cast("long").alias("reads"))
     return per.groupBy("reads").agg(F.count(F.lit(1)).alias("freq"))
 
 
@@ -112,7 +159,21 @@ def normalise(matrix: DataFrame) -> DataFrame:
 
 
 def fold_changes(norm: DataFrame, groups: DataFrame, first: str, second: str, pseudo: float = 0.5) -> DataFrame:
-    """(gene, mean_first, mean_second, log2fc) of normalised counts by sample group: the descriptive comparison."""
+    """(gene, mean_first, mean_second, log2fc) of normalised counts by sample group: the descriptive comparison.
+
+    A sample of either group without counts raises an error.
+    """
+    have = norm.select("sample").distinct().withColumn("_have", F.lit(True))
+    met = groups.where(F.col("grp").isin(first, second)).join(have, "sample", "left")
+    bad = F.when(F.col("_have").isNull(), F.raise_error(F.concat(F.lit("sample without counts: "), "sample"))).cast("string")
+    groups = met.where(F.coalesce(bad, F.lit("")) == "").select("sample", "grp")
     mean = lambda g: F.avg(F.when(F.col("grp") == g, F.col("norm")))
     rows = norm.join(groups, "sample").groupBy("gene").agg(mean(first).alias("mean_first"), mean(second).alias("mean_second"))
     return rows.withColumn("log2fc", F.log2((F.col("mean_second") + pseudo) / (F.col("mean_first") + pseudo)))
+
+
+def ordered_changes(changes: DataFrame) -> DataFrame:
+    """Most significant first where there is ``padj`` (nulls last), else the largest change either way; then gene."""
+    if "padj" in changes.columns:
+        return changes.orderBy(F.col("padj").asc_nulls_last(), "gene")
+    return changes.orderBy(F.abs("log2fc").desc_nulls_last(), "gene")

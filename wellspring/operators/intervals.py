@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -43,14 +43,43 @@ def single_cover(df: DataFrame, keys: Sequence[str], owner: str, start: str = "s
     return swept.where((F.col("_depth") == 1) & F.col(end).isNotNull()).drop("_depth")
 
 
-def difference(a: DataFrame, b: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Parts of ``a``'s union that ``b`` does not cover."""
+def _swept(a: DataFrame, b: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Segments between neighbouring edges of both sets, with how many intervals of each (``_a``, ``_b``) cover them."""
     event = lambda df, n: df.select(*keys, F.col(start).alias("at"), F.lit(n).alias("a"), F.lit(1 - n).alias("b")).unionByName(df.select(*keys, (F.col(end) + 1).alias("at"), F.lit(-n).alias("a"), F.lit(n - 1).alias("b")))
     events = event(a, 1).unionByName(event(b, 0)).groupBy(*keys, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     w = Window.partitionBy(*keys).orderBy("at")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    swept = events.select(*keys, F.col("at").alias(start), (F.lead("at").over(w) - 1).alias(end), F.sum("a").over(run).alias("_a"), F.sum("b").over(run).alias("_b"))
-    return merge(swept.where("_a > 0 AND _b = 0").drop("_a", "_b"), keys, start, end)
+    return events.select(*keys, F.col("at").alias(start), (F.lead("at").over(w) - 1).alias(end), F.sum("a").over(run).alias("_a"), F.sum("b").over(run).alias("_b"))
+
+
+def difference(a: DataFrame, b: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """Parts of ``a``'s union that ``b`` does not cover."""
+    return merge(_swept(a, b, keys, start, end).where("_a > 0 AND _b = 0").drop("_a", "_b"), keys, start, end)
+
+
+def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """What the unions of both sets cover."""
+    return merge(_swept(a, b, keys, start, end).where("_a > 0 AND _b > 0").drop("_a", "_b"), keys, start, end)
+
+
+def union(a: DataFrame, b: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """What either set covers, adjacent intervals joined."""
+    return merge(a.select(*keys, start, end).unionByName(b.select(*keys, start, end)), keys, start, end)
+
+
+def internal_gaps(df: DataFrame, span: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """Parts of each group's ``span`` (keys, start, end) that its intervals leave open, ahead of the first and after the last too."""
+    return difference(span, df, keys, start, end)
+
+
+def extent(df: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+    """(keys, n, bases, first, last) of each group's merged intervals."""
+    return merge(df, keys, start, end).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(end) - F.col(start) + 1).cast("long").alias("bases"), F.min(start).alias("first"), F.max(end).alias("last"))
+
+
+def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
+    """Whether two closed intervals share a position; a point is an interval of one."""
+    return (a_start <= b_end) & (b_start <= a_end)
 
 
 def segments(df: DataFrame, keys: Sequence[str], member: str, start: str = "start", end: str = "end") -> DataFrame:

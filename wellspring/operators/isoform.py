@@ -23,28 +23,52 @@ def consensus(bases: DataFrame) -> DataFrame:
     return out.select("molecule", "pos", F.when(F.col("_p") <= 0.3, "N").otherwise(F.col("_b")).alias("base"), phred.alias("qual"))
 
 
-def molecules(reads: DataFrame) -> DataFrame:
-    """(well, gene, umi, reads, exonic, intronic, strand): distinct read names; strand by majority, ties reverse."""
-    names = lambda cond: F.count_distinct(F.when(cond, F.col("qname")))
-    forward = F.count(F.when(F.col("strand") == "+", 1))
-    return reads.groupBy("well", "gene", "umi").agg(
-        F.count_distinct("qname").alias("reads"), names(F.col("re") == "E").alias("exonic"), names(F.col("re") == "N").alias("intronic"),
-        F.when(forward * 2 > F.count(F.lit(1)), "+").otherwise("-").alias("strand"),
+def molecules(reads: DataFrame, paired: bool = False) -> DataFrame:
+    """(well, gene, umi, reads, exonic, intronic, strand): distinct read names; strand by majority, ties reverse.
+
+    ``paired``: ``first`` marks records of read 1, which alone settle the strand; molecules without any are dropped.
+    Records are dealt by molecule once; names and molecules are then added up in place.
+    """
+    of = ["well", "gene", "umi"]
+    votes = F.col("first") if paired else F.lit(True)
+    n = lambda c: F.count(F.when(F.col(c) if isinstance(c, str) else c, 1))
+    dealt = reads.select(*of, "qname", "re", "strand", votes.alias("votes")).repartition(*of)
+    names = dealt.groupBy(*of, "qname").agg(F.max(F.col("re") == "E").alias("e"), F.max(F.col("re") == "N").alias("i"), n(F.col("votes") & (F.col("strand") == "+")).alias("forward"), n("votes").alias("votes"))
+    out = names.groupBy(*of).agg(
+        F.count(F.lit(1)).alias("reads"), n("e").alias("exonic"), n("i").alias("intronic"),
+        F.when(F.sum("forward") * 2 > F.sum("votes"), "+").otherwise("-").alias("strand"), F.sum("votes").alias("_v"),
     )
+    return out.where("_v > 0").drop("_v")
 
 
-def compatible(molecule_blocks: DataFrame, segments: DataFrame, least: int = 5, size: int = 1000) -> DataFrame:
-    """(molecule, transcripts): transcripts that hold every segment a molecule overlaps by ``least`` bases; none: null.
+def _division(blocks: DataFrame, segments: DataFrame, least: int, size: int) -> DataFrame:
+    """(molecule, k, txs): the number of segments that a molecule overlaps by ``least`` bases, and the transcripts in all of them.
 
-    Relational division: a transcript stays if it is in as many matched segments as there are.
+    Relational division: a transcript stays if it is in as many matched segments as there are. A segment is an index
+    entry, all intervals of a gene with the same transcripts.
     """
     from ..functions.ranges import overlap_join
 
-    met = overlap_join(molecule_blocks, segments, ["gene"], "b_start", "b_end", "start", "end", size)
-    hit = met.groupBy("molecule", "gene", "start").agg(F.sum("overlap").alias("o"), F.first("members").alias("members")).where(F.col("o") >= least)
+    met = overlap_join(blocks, segments, ["gene"], "b_start", "b_end", "start", "end", size)
+    hit = met.groupBy("molecule", "gene", "members").agg(F.sum("overlap").alias("o")).where(F.col("o") >= least)
     per = hit.groupBy("molecule").agg(F.count(F.lit(1)).alias("k"))
     each = hit.select("molecule", F.explode("members").alias("tx")).groupBy("molecule", "tx").agg(F.count(F.lit(1)).alias("k"))
-    return per.join(each, ["molecule", "k"], "left").groupBy("molecule").agg(F.sort_array(F.collect_set("tx")).alias("t")).select("molecule", F.when(F.size("t") > 0, F.col("t")).alias("transcripts"))
+    return per.join(each, ["molecule", "k"], "left").groupBy("molecule").agg(F.collect_set("tx").alias("txs"))
+
+
+def compatible(molecule_blocks: DataFrame, segments: DataFrame, skipped: DataFrame | None = None, junctions: DataFrame | None = None, least: int = 5, size: int = 1000) -> DataFrame:
+    """(molecule, transcripts): transcripts that hold every entry a molecule overlaps by ``least`` bases; none: null.
+
+    ``molecule_blocks`` and ``skipped`` (molecule, gene, b_start, b_end) are what a molecule covers and leaves out,
+    ``segments`` and ``junctions`` (gene, members, start, end) the entries of exons and of introns. Where both meet
+    entries a transcript has to be in the answers of both.
+    """
+    exonic = _division(molecule_blocks, segments, least, size)
+    if skipped is not None and junctions is not None:
+        inner = _division(skipped, junctions, least, size).withColumnRenamed("txs", "inner")
+        met = exonic.join(inner, "molecule", "full_outer")
+        exonic = met.select("molecule", F.when(F.col("txs").isNull(), F.col("inner")).when(F.col("inner").isNull(), F.col("txs")).otherwise(F.array_intersect("txs", "inner")).alias("txs"))
+    return exonic.select("molecule", F.when(F.size("txs") > 0, F.sort_array("txs")).alias("transcripts"))
 
 
 def quantify(rows: DataFrame) -> DataFrame:
@@ -54,6 +78,9 @@ def quantify(rows: DataFrame) -> DataFrame:
     return each.groupBy("well", "tx").agg(F.count(F.when(F.col("k") == 1, 1)).alias("unique_molecules"), F.sum(1.0 / F.col("k")).alias("fractional"), F.sum("reads").cast("long").alias("total_reads"))
 
 
-def first_wins(gene: Column, exonic: Column, intronic: Column) -> Column:
-    """The gene of a read that has an exonic and an intronic one: dropped if they differ."""
-    return F.when(exonic.isNotNull() & intronic.isNotNull() & (exonic != intronic), F.lit(None)).otherwise(F.coalesce(exonic, intronic, gene))
+def assigned_gene(ge: Column, gi: Column, gx: Column, re: Column) -> tuple[Column, Column, Column]:
+    """(gene, exonic, intronic) of a read's tags: GE, else GX where RE is E; GI, else GX where RE is N; no gene if they differ."""
+    exon = F.coalesce(ge, F.when(re == "E", gx))
+    intron = F.coalesce(gi, F.when(re == "N", gx))
+    gene = F.when(exon.isNotNull() & intron.isNotNull() & (exon != intron), F.lit(None)).otherwise(F.coalesce(exon, intron))
+    return gene, exon.isNotNull(), intron.isNotNull()

@@ -40,6 +40,14 @@ def well_stats(wells: DataFrame, stats: DataFrame, summary: DataFrame) -> DataFr
     return with_ratios(out.fillna(0, zero).drop("all_reads", "MappingRatio", "GenicRatio", "ExonIntronRatio", "UMIfrac"))
 
 
+def expected_wells(wells: DataFrame, stats: DataFrame) -> DataFrame:
+    """(well, expected, the columns of ``stats``): expected wells and those that were read, whatever the case of their names."""
+    own = wells.select(F.upper("well").alias("_k"), F.col("well").alias("_w")).distinct()
+    met = own.join(stats.withColumn("_k", F.upper("well")), "_k", "full_outer")
+    rest = [c for c in stats.columns if c != "well"]
+    return met.select(F.coalesce("_w", "well").alias("well"), F.col("_w").isNotNull().alias("expected"), *rest)
+
+
 def failed(thresholds: dict[str, float]) -> Column:
     """The enabled thresholds that a well misses; a missing metric misses its threshold."""
     misses = [F.when(F.coalesce(F.col(m) < t, F.lit(True)), F.lit(m)) for m, t in sorted(thresholds.items())]

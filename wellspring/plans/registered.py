@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
-from ..functions.ranges import overlap_join
 from ..operators import assign as A
 from ..operators import barcodes as B
 from ..operators import expression as X
@@ -86,14 +85,12 @@ def _(v):
 @query("a16_umi_matrix", """SELECT well, gene, ftype, count(DISTINCT parent) AS n FROM umis JOIN parents USING (well, gene, umi) GROUP BY 1, 2, 3
     UNION ALL SELECT well, gene, 'inex', count(DISTINCT parent) FROM parents GROUP BY 1, 2""", *CLUSTERED)
 def _(v):
-    counts = X.umi_counts(eligible(v))
-    return X.umi_matrix(counts, X.cluster(counts, ["well", "gene"]))
+    return X.umi_matrix(X.clustered(X.umi_types(eligible(v)), ["well", "gene"]))
 
 
 @query("a17_umi_frequency", "SELECT reads, count(*) AS freq FROM (SELECT cast(sum(n) as bigint) AS reads FROM umis JOIN parents USING (well, gene, umi) GROUP BY well, gene, parent) GROUP BY 1", *CLUSTERED)
 def _(v):
-    counts = X.umi_counts(eligible(v))
-    return X.frequency(counts, X.cluster(counts, ["well", "gene"]), ["well", "gene"])
+    return X.frequency(X.clustered(X.umi_types(eligible(v)), ["well", "gene"]), ["well", "gene"])
 
 
 _LIB = [c.replace(", gene", "").replace("p.gene, ", "").replace("AND p.gene = f.gene ", "").replace(" AND p.gene = c.gene", "").replace("GROUP BY 1, 2)", "GROUP BY 1)") for c in (FOLD, PARENTS)]
@@ -105,7 +102,7 @@ _LIB = [c.replace(", gene", "").replace("p.gene, ", "").replace("AND p.gene = f.
 )
 def _(v):
     counts = v("reads").groupBy("well", "umi").agg(F.count(F.lit(1)).alias("n"))
-    return X.frequency(counts, X.cluster(counts, ["well"]), ["well"])
+    return X.frequency(X.clustered(counts, ["well"]), ["well"])
 
 
 @query("a37_corrections", "SELECT count(*) AS corrected FROM parents WHERE umi <> parent", *CLUSTERED)
@@ -426,13 +423,13 @@ def _(v):
 MOLECULE = "mol AS (SELECT well || gene || umi AS molecule, cast(b_start % 20 as bigint) AS pos, substr(bc, 1, 1) AS base, phred AS qual FROM reads WHERE re = 'E')"
 
 
-@query("a30_consensus", """SELECT molecule, pos, CASE WHEN p <= 0.3 THEN 'N' ELSE b END AS base FROM (SELECT *, 1 / (exp(a - m) + exp(t - m) + exp(c - m) + exp(g - m)) AS p, CASE WHEN a = m THEN 'A' WHEN t = m THEN 'T' WHEN c = m THEN 'C' ELSE 'G' END AS b FROM
+@query("a30_consensus", """SELECT molecule, pos, CASE WHEN p <= 0.3 THEN 'N' ELSE b END AS base, cast(greatest(0, least(93, round(-10 * log10(1 - p + 1e-13)))) as int) AS qual FROM (SELECT *, 1 / (exp(a - m) + exp(t - m) + exp(c - m) + exp(g - m)) AS p, CASE WHEN a = m THEN 'A' WHEN t = m THEN 'T' WHEN c = m THEN 'C' ELSE 'G' END AS b FROM
     (SELECT *, greatest(a, t, c, g) AS m FROM (SELECT molecule, pos, round(sum(CASE WHEN base = 'A' THEN ln(1 - e) ELSE ln(e / 3) END), 9) AS a, round(sum(CASE WHEN base = 'T' THEN ln(1 - e) ELSE ln(e / 3) END), 9) AS t,
     round(sum(CASE WHEN base = 'C' THEN ln(1 - e) ELSE ln(e / 3) END), 9) AS c, round(sum(CASE WHEN base = 'G' THEN ln(1 - e) ELSE ln(e / 3) END), 9) AS g
     FROM (SELECT *, pow(10, -least(greatest(qual, 1), 93) / 10.0) AS e FROM mol) GROUP BY 1, 2)))""", MOLECULE)
 def _(v):
     rows = v("reads").where("re = 'E'").select(F.concat("well", "gene", "umi").alias("molecule"), (F.col("b_start") % 20).alias("pos"), F.substring("bc", 1, 1).alias("base"), F.col("phred").alias("qual"))
-    return M.consensus(rows).select("molecule", "pos", "base")
+    return M.consensus(rows)
 
 
 @query("a31_molecules", """SELECT well, gene, umi, count(DISTINCT qname) AS reads, count(DISTINCT CASE WHEN re = 'E' THEN qname END) AS exonic, count(DISTINCT CASE WHEN re = 'N' THEN qname END) AS intronic,
@@ -441,13 +438,34 @@ def _(v):
     return M.molecules(v("reads"))
 
 
-@query("a32_isoform_counts", """SELECT well, tx, count(CASE WHEN k = 1 THEN 1 END) AS unique_molecules, round(sum(1.0 / k), 6) AS fractional, cast(sum(reads) as bigint) AS total_reads FROM
-    (SELECT well, reads, unnest(t) AS tx, len(t) AS k FROM m) GROUP BY 1, 2""",
-       """m AS (SELECT well, reads, CASE WHEN reads % 3 = 0 THEN ['T1'] WHEN reads % 3 = 1 THEN ['T1', 'T2'] ELSE ['T1', 'T2', 'T3'] END AS t FROM (SELECT well, gene, umi, count(DISTINCT qname) AS reads FROM reads GROUP BY 1, 2, 3))""")
+SEGMENTS = """txp AS (SELECT DISTINCT gene, tx, unnest(generate_series("start", "end")) AS posn FROM exons),
+    entry AS (SELECT gene, posn, list_sort(list(tx)) AS members FROM txp GROUP BY 1, 2),
+    molb AS (SELECT DISTINCT well, gene, umi, well || '-' || gene || '-' || umi AS molecule, unnest(generate_series(b_start, b_end)) AS posn FROM reads),
+    hit AS (SELECT molecule, gene, members, count(*) AS o FROM molb JOIN entry USING (gene, posn) GROUP BY 1, 2, 3 HAVING count(*) >= 5)"""
+COMPATIBLE = """perm AS (SELECT molecule, count(*) AS k FROM hit GROUP BY 1), each AS (SELECT molecule, tx, count(*) AS k FROM (SELECT molecule, unnest(members) AS tx FROM hit) GROUP BY 1, 2),
+    sets AS (SELECT e.molecule, list_sort(list(e.tx)) AS transcripts FROM each e JOIN perm p ON e.molecule = p.molecule AND e.k = p.k GROUP BY 1)"""
+
+
+def covered(v) -> DataFrame:
+    """(molecule, gene, b_start, b_end): what each molecule's reads cover."""
+    rows = v("reads").select(F.concat_ws("-", "well", "gene", "umi").alias("molecule"), "gene", F.col("b_start").alias("start"), F.col("b_end").alias("end"))
+    return I.merge(rows, ["molecule", "gene"]).withColumnsRenamed({"start": "b_start", "end": "b_end"})
+
+
+def segments(v) -> DataFrame:
+    return I.segments(v("exons").select("gene", "tx", "start", "end"), ["gene"], "tx")
+
+
+@query("j19_compatible", "SELECT p.molecule, s.transcripts FROM perm p LEFT JOIN sets s ON p.molecule = s.molecule", SEGMENTS, COMPATIBLE)
 def _(v):
-    t = F.array(F.lit("T1"), F.lit("T2"), F.lit("T3"))
-    rows = M.molecules(v("reads")).select("well", "reads", F.slice(t, 1, (F.col("reads") % 3 + 1).cast("int")).alias("transcripts"))
-    return rounded(M.quantify(rows), "fractional")
+    return M.compatible(covered(v), segments(v))
+
+
+@query("a32_isoform_counts", """SELECT split_part(molecule, '-', 1) AS well, tx, count(CASE WHEN k = 1 THEN 1 END) AS unique_molecules, round(sum(1.0 / k), 6) AS fractional, cast(sum(reads) as bigint) AS total_reads FROM
+    (SELECT s.molecule, n.reads, unnest(s.transcripts) AS tx, len(s.transcripts) AS k FROM sets s JOIN (SELECT well || '-' || gene || '-' || umi AS molecule, count(DISTINCT qname) AS reads FROM reads GROUP BY 1) n ON s.molecule = n.molecule) GROUP BY 1, 2""", SEGMENTS, COMPATIBLE)
+def _(v):
+    reads = M.molecules(v("reads")).select(F.concat_ws("-", "well", "gene", "umi").alias("molecule"), "well", "reads")
+    return rounded(M.quantify(M.compatible(covered(v), segments(v)).join(reads, "molecule")), "fractional")
 
 
 # Quality tables
@@ -502,16 +520,10 @@ def _(v):
     return rounded(Q.run_summary(Q.read_stats(categorised(v)), ("Exon",)), "mean_Exon", "transcriptome_share")
 
 
-@query("a34_modal_length", "SELECT b_end - b_start + 1 AS length, count(*) AS n FROM reads GROUP BY 1 ORDER BY n DESC, length LIMIT 1")
-def _(v):
-    return v("reads").groupBy((F.col("b_end") - F.col("b_start") + 1).alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "length").limit(1)
-
-
 @query("j15_expected_wells", """SELECT coalesce(w.well, s.well) AS well, w.well IS NOT NULL AS expected, coalesce(s."Exon", 0) AS "Exon" FROM wells w FULL JOIN stats s ON upper(w.well) = upper(s.well)""", STATS)
 def _(v):
-    own = v("wells").select(F.upper("well").alias("k"), F.col("well").alias("w"))
-    met = own.join(Q.read_stats(categorised(v)).withColumn("k", F.upper("well")), "k", "full_outer")
-    return met.select(F.coalesce("w", "well").alias("well"), F.col("w").isNotNull().alias("expected"), F.coalesce("Exon", F.lit(0)).alias("Exon"))
+    met = Q.expected_wells(v("wells"), Q.read_stats(categorised(v)))
+    return met.select("well", "expected", F.coalesce("Exon", F.lit(0)).alias("Exon"))
 
 
 @query("j18_gene_span_reads", """SELECT r.qname, r.gene, r.b_start FROM blkg r JOIN (SELECT gene, min("start") AS s, max("end") AS e FROM exons GROUP BY 1) g ON r.gene = g.gene AND r.b_start <= g.e AND g.s <= r.b_end""",
@@ -519,4 +531,4 @@ def _(v):
 def _(v):
     span = v("exons").groupBy("gene").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     rows = v("reads").select("qname", "gene", "b_start", "b_end").distinct()
-    return overlap_join(rows, span, ["gene"], "b_start", "b_end", "start", "end", 100_000).select("qname", "gene", "b_start")
+    return A.reads_of_genes(rows, span).select("qname", "gene", "b_start")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import registered
+from .plans import registered, stages  # noqa: F401  stages adds its queries to the same tables
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
