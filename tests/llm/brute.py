@@ -109,3 +109,64 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
         if not over:
             return fixed | t
         fixed |= {s: most * sizes[s] for s in over}
+
+
+def suffix_tree_scores(rows, folds=10, depth=2, least=6, bound=10.0, prior=100.0, back_off=4.0):
+    """Every text's log10 probability in the tree, from counters of all contexts."""
+    held = {i: zlib.crc32(str(i).encode()) % folds == 0 for i, _ in rows}
+    tokens = {i: [*words(t), None] for i, t in rows}
+    count = [Counter() for _ in range(depth + 1)]  # of grams by the length of their context
+    for i, own in tokens.items():
+        for at in range(len(own) if not held[i] else 0):
+            for k in range(min(depth, at) + 1):
+                count[k][tuple(own[at - k : at + 1])] += 1
+    n, v = sum(count[0].values()), len(count[0])
+    follow = [defaultdict(int) for _ in range(depth + 1)]
+    for k in range(1, depth + 1):
+        for gram in count[k]:
+            follow[k][gram[:-1]] += 1
+    grown = [set() for _ in range(depth + 1)]
+
+    def probability(own, at, most):
+        p = (count[0][(own[at],)] + 0.1) / (n + 0.1 * (v + 1))
+        for k in range(1, min(most, at) + 1):
+            context = tuple(own[at - k : at])
+            if context in grown[k]:
+                c, seen, weight = count[k][(*context, own[at])], count[k - 1][context], back_off * follow[k][context]
+                p = (c + weight * p) / (seen + weight)
+        return p
+
+    for k in range(1, depth + 1):
+        gain = defaultdict(float)
+        for i, own in tokens.items():
+            for at in range(k, len(own) if not held[i] else 0):
+                context = tuple(own[at - k : at])
+                seen = count[k - 1][context]
+                if seen >= least:
+                    c, p = count[k][(*context, own[at])] - 1, probability(own, at, k - 1)
+                    gain[context] += math.log((c + prior * p) / ((seen - 1 + prior) * p))
+        grown[k] = {x for x, g in gain.items() if g > bound}
+    return {i: sum(math.log10(probability(own, at, depth)) for at in range(len(own))) for i, own in tokens.items()}, [len(g) for g in grown]
+
+
+def gapped(word, decay=0.6, span=6):
+    """A word's four-letter subsequences, its ends letters too, by weight; at length 1."""
+    w = "\1" + word + "\2"
+    found = [((w[i], w[i + j], w[i + k], w[i + m]), decay ** (m - 3)) for i in range(len(w)) for j in range(1, span) for k in range(j + 1, span) for m in range(k + 1, span) if i + m < len(w)]
+    size, out = math.sqrt(sum(x * x for _, x in found)), defaultdict(float)
+    for key, x in found:
+        out[key] += x / size
+    return out
+
+
+def host_and_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def rule(host, path, rules):
+    hits = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(hits)[1:] if hits else (None, None)

@@ -156,10 +156,18 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., byte
     n_bytes = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     places = min(MOST_PLACES, n_bytes // PLACE_BYTES) if n_bytes < NO_SIZE else least
     out = stored_by(packed, "blocks", "block", max(least, places))
+    out.places = max(least, places)
     release(docs.sparkSession)
     return out
 
 
+def placed_answers(answers: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Answers (block, question, bucket, payload) written once to the buckets of the ``placed`` blocks that they go to."""
+    out = stored_by(answers.select("block", "question", "bucket", "payload"), "answers", "block", blocks.places)
+    release(answers.sparkSession)
+    return out
+
+
 @dataclass
 class Scale:
     """How keys are cut and dealt: the same for every block of a question."""
@@ -255,9 +263,14 @@ def told(rows: pa.Table, question_no: int = 0) -> np.ndarray:
 
 def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
     """Blocks with their answers, by the question's number, through ``fn``: one task per block."""
+    return tell_placed(table, [a.select("block", F.lit(i).alias("question"), "bucket", "payload") for i, a in answers.items()], fn, schema)
+
+
+def tell_placed(table: DataFrame, answers: Sequence[DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
+    """``tell`` with tables of answers (block, question, bucket, payload). Where these lie in the blocks' buckets nothing is moved."""
     every = None
-    for i, a in answers.items():
-        part = a.where("block >= 0").select("block", F.lit(i).alias("question"), "bucket", "payload")
+    for a in answers:
+        part = a.where("block >= 0").select("block", "question", "bucket", "payload")
         every = part if every is None else every.unionByName(part)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

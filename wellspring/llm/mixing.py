@@ -48,8 +48,9 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length (ascending, over 0) to take so that their words come nearest to ``budget``.
 
     Most of the budget is met in proportion to the counts; a bounded knapsack over reachable sums (each count split in
-    powers of two, sums as the bits of an integer) fits the rest, which is at most a few of the longest documents. Of
-    two equally near sums the smaller is taken.
+    powers of two, sums as the bits of an integer) fits the rest, which is at most a few of the longest documents. Each
+    sum keeps the part that first reached it, so memory is four bytes a sum, whatever the number of lengths. Of two
+    equally near sums the smaller is taken.
     """
     take = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
@@ -67,28 +68,30 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         take[i] += more
         rest -= more * int(lengths[i])
     limit = rest + int(lengths.max())
-    mask, reach, items = (1 << (limit + 1)) - 1, [1], []
+    mask, reach, items, by = (1 << (limit + 1)) - 1, 1, [], np.full(limit + 1, -1, np.int32)
     for i in range(len(lengths)):
         left, part = min(int(counts[i] - take[i]), limit // int(lengths[i])), 1
         while left > 0:
             n = min(part, left)
-            grown = reach[-1] | ((reach[-1] << (n * int(lengths[i]))) & mask)
-            if grown != reach[-1]:
+            new = (reach << (n * int(lengths[i]))) & mask & ~reach
+            if new:
+                bits = np.unpackbits(np.frombuffer(new.to_bytes(limit // 8 + 1, "little"), np.uint8), bitorder="little")
+                by[np.flatnonzero(bits)] = len(items)
                 items.append((i, n))
-                reach.append(grown)
+                reach |= new
             left -= n
             part *= 2
-        if reach[-1] >> rest & 1:
+        if reach >> rest & 1:
             break
-    sums = reach[-1]
+    sums = reach
     below = (sums & ((1 << (rest + 1)) - 1)).bit_length() - 1
     above = sums >> (rest + 1)
     above = rest + 1 + (above & -above).bit_length() - 1 if above else None
     at = above if above is not None and above - rest < rest - below else below
-    for (i, n), before in zip(reversed(items), reversed(reach[:-1])):
-        if not before >> at & 1:
-            take[i] += n
-            at -= n * int(lengths[i])
+    while at:  # what was left of a sum had been reached by earlier parts
+        i, n = items[by[at]]
+        take[i] += n
+        at -= n * int(lengths[i])
     return take
 
 
@@ -108,8 +111,8 @@ def mix(df: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
     bounded knapsack finds to meet the target (every document once first, where the target exceeds the source), and
     within a length those with the smallest seeded hash. A document is taken 0, 1 or 2 times (``most`` of 2).
 
-    Null texts have size 0 and are never taken; null sources are one source; repeated rows count as rows. Rows of equal
-    hash and id are taken in an order that a rerun repeats. Only ids, lengths, sources and carried
+    Null texts have size 0 and are never taken; null sources are one source; repeated rows count as rows. Rows of one id and
+    length are taken in the order of a hash of what they carry. Only ids, lengths, sources and carried
     columns are shuffled.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("source"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
@@ -127,13 +130,15 @@ def mix(df: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
     # one very common length isn't sorted in one task.
     slices = 64
     h = F.xxhash64(F.lit(seed), "doc_id")
+    if carry:  # rows of one id and length whose texts differ have a fixed order too
+        rows = rows.withColumn("tie", F.xxhash64("carried"))
     rows = rows.withColumn("h", h).withColumn("slice", F.shiftrightunsigned("h", 58).cast("int"))
     per = rows.where("size > 0").groupBy("key", "size", "slice").agg(F.count(F.lit(1)).alias("k"))
     before = Window.partitionBy("key", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("before", F.coalesce(F.sum("k").over(before), F.lit(0))).drop("k")
     # Only slices in which the last taken document lies need ranks; the others are taken whole or not at all.
     plan = plan.join(per, ["key", "size"]).select("key", "size", "slice", "whole", (F.col("again") - F.col("before")).alias("quota"))
-    rank = F.row_number().over(Window.partitionBy("key", "size", "slice").orderBy(F.shiftleft("h", 6), "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("key", "size", "slice").orderBy(F.shiftleft("h", 6), "doc_id", *(["tie"] if carry else [])))
     assert slices == 64
     taken = F.col("size") * (F.coalesce("whole", F.lit(0)) + F.when(F.col("rank") <= F.coalesce("quota", F.lit(0)), 1).otherwise(0))
     return (

@@ -23,6 +23,8 @@ from .topk import usable
 SHARD, SLICE, OVERLAP = 1000, 2000, 2
 DEGREE, FAR, ALPHA, BEAM = 24, 8, 1.2, 24
 FIT_ROWS, MOST_CENTROIDS = 20_000, 2048
+#: Rows that the audit asks for at a time.
+AUDIT = 5000
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -121,13 +123,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     count = reps.count()
 
     # A bounded sample fits the centroids of each length of vector; every row is indexed.
-    dims = [r[0] for r in reps.select("d").distinct().limit(65).collect()]
-    if len(dims) > 64:
-        raise ValueError("vectors have over 64 different lengths")
+    # A length that the sample lacks is one shard, in slices.
     share = min(1.0, FIT_ROWS / max(1, count))
     got = reps.where(F.pmod(F.xxhash64(F.lit(3), "rep"), F.lit(1 << 40)) < int(share * (1 << 40))).select("d", "v").collect()
     k = min(MOST_CENTROIDS, max(1, count // SHARD))
-    fitted = {d: centroids(unit(np.array([r[1] for r in got if r[0] == d])), k) for d in dims if any(r[0] == d for r in got)}
+    fitted = {d: centroids(unit(np.array([r[1] for r in got if r[0] == d])), k) for d in {r[0] for r in got}}
 
     def assign(batches):
         for batch in batches:
@@ -203,21 +203,31 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
 
 
 def recall(vectors: DataFrame, result: DataFrame, every: int = 50, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> float:
-    """The audit: links found over links there are, for the rows whose id ``every`` divides, by brute force in blocks."""
-    ok = vectors.where(usable(vec_col) & F.exists(vec_col, lambda c: c != 0)).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    asked = ok.where(F.col("id") % every == 0).collect()
-    q_id, q = np.array([r[0] for r in asked], np.int64), unit(np.array([r[1] for r in asked], np.float64))
-
-    def count(batches):
-        for batch in batches:
-            ids, x = batch.column("id").to_numpy(), unit(_vectors(pa.chunked_array([batch.column("v")]), batch.num_rows))
-            hit = (q @ x.T >= threshold) & (q_id[:, None] != ids[None, :])
-            yield pa.RecordBatch.from_arrays([pa.array(q_id), pa.array(hit.sum(1), pa.int64())], names=["id", "n"])
+    """The audit: links found over links there are, for the rows whose id ``every`` divides, by brute force.
 
-    true = ok.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    Those rows are held against all in blocks of AUDIT rows, one block at the driver at a time.
+    """
+    ok = vectors.where(usable(vec_col) & F.exists(vec_col, lambda c: c != 0)).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    asking = ok.where(F.col("id") % every == 0)
+    blocks = -(-asking.count() // AUDIT)
     got = result.select(F.col("vec_id").alias("id"), "n_links")
-    r = true.join(got, "id").agg(F.sum("n"), F.sum(F.least("n", "n_links"))).first()
-    return 1.0 if not r[0] else float(r[1]) / float(r[0])
+    there = found = 0
+    for i in range(blocks):
+        asked = asking.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).collect()
+        if not asked:
+            continue
+        q_id, q = np.array([r[0] for r in asked], np.int64), unit(np.array([r[1] for r in asked], np.float64))
+
+        def count(batches, q_id=q_id, q=q):
+            for batch in batches:
+                ids, x = batch.column("id").to_numpy(), unit(_vectors(pa.chunked_array([batch.column("v")]), batch.num_rows))
+                hit = (q @ x.T >= threshold) & (q_id[:, None] != ids[None, :])
+                yield pa.RecordBatch.from_arrays([pa.array(q_id), pa.array(hit.sum(1), pa.int64())], names=["id", "n"])
+
+        true = ok.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        r = true.join(got, "id").agg(F.sum("n"), F.sum(F.least("n", "n_links"))).first()
+        there, found = there + (r[0] or 0), found + (r[1] or 0)
+    return found / there if there else 1.0
 
 
 def audit(vectors: DataFrame, every: int = 50, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> float:

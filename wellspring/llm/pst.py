@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .mixing import word_count
 from .ngram_join import word_hash
-from .shared import release, stored
 
 #: Text of a block: the larger, the fewer blocks ask for the same key, and the more memory a worker needs.
 BLOCK_BYTES = 12 << 20
@@ -195,16 +194,18 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
 
     table = B.blocks(marked, id_col, "_t", make, size=BLOCK_BYTES, placed=True)
     n_bytes = B.total_bytes(table)
-    spark = docs.sparkSession
     words_scale = B.Scale.of(n_bytes / 50, WORD_BITS)  # the counts of words have to be exact
     grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, GRAM_BITS).bits)
     few = B.Scale(max(1, grams.buckets // 4), grams.bits)
 
-    answers = {
-        0: stored(B.totals(B.ask(table, words_scale, lambda p: _Tokens(p).words())), "totals"),
-        1: stored(B.totals(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked())), "totals"),
-    }
-    release(spark)
+    def once(asked: DataFrame, number: int) -> DataFrame:
+        return B.placed_answers(B.totals(asked).withColumn("question", F.lit(number)), table)
+
+    # Every answer is moved once, to the bucket of the block that asked; later rounds read it in place.
+    answers = [
+        once(B.ask(table, words_scale, lambda p: _Tokens(p).words()), 0),
+        once(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked()), 1),
+    ]
     sums = [B.unpack(r[0]) for r in answers[0].where("block < 0").select("payload").toLocalIterator()]
     stats = (float(sum(s[1][0] for s in sums)), float(sum(s[0][0] for s in sums)))
 
@@ -224,10 +225,8 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
         return np.where(sums.real > tests.bound, sums.imag, 0).astype(np.float32)
 
     for level in range(1, depth + 1):
-        told = stored(B.totals(B.tell(table, answers, asks(level), _ASKS), ("question", "bucket"), {2 * level: grown}), "totals")
-        for q in (2 * level, 2 * level + 1)[: 1 + (level < depth)]:
-            answers[q] = told.where(F.col("question") == q).drop("question")
-        release(spark)
+        told = B.totals(B.tell_placed(table, answers, asks(level), _ASKS), ("question", "bucket"), {2 * level: grown})
+        answers.append(B.placed_answers(told, table))
 
     def final(block: int, payload: bytes, told: pa.Table) -> pa.Table:
         t = _Tokens(payload)
@@ -241,7 +240,7 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = B.tell(table, answers, final, schema)
+    out = B.tell_placed(table, answers, final, schema)
     nameless = docs.where(F.col(id_col).isNull()).select(
         F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("held_out"), (word_count(F.col(text_col)) + 1).alias("n_tokens"),
         F.lit(None).cast("long").alias("n_known"), F.lit(int(stats[0])).cast("long").alias("train_tokens"), F.lit(None).cast("double").alias("base_score"), F.lit(None).cast("double").alias("score"),

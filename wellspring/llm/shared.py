@@ -16,9 +16,15 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where that is unset (tests on one machine) a folder of our own."""
+    """``spark.checkpoint.dir`` of the session; only where that is unset on one machine (tests) a folder of our own.
+
+    Executors of a cluster don't see each other's folders, so without the setting an error is raised there.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         path = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="wellspring-")
     return path.rstrip("/")
@@ -31,8 +37,10 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def _remove_quietly(spark: SparkSession, path: str) -> None:
+def _remove_quietly(spark: SparkSession, path: str, table: str | None = None) -> None:
     try:  # at exit the session may be gone already; the folder is then the cluster's to clean
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         remove(spark, path)
     except Exception:  # noqa: BLE001
         pass
@@ -52,14 +60,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """Write ``df`` once to the shared folder in buckets of ``key``: later groupings by the key read it in place.
 
-    The table's name is in the session's catalog until the program ends, its files are where ``stored`` puts them.
+    The table's name is in the session's catalog until the program ends, when it is dropped; its files are where
+    ``stored`` puts them.
     """
     spark = df.sparkSession
     table = f"wellspring_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/wellspring/{table}"
     dealt = df.repartition(buckets, key)
     dealt.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table, format="parquet")
-    atexit.register(_remove_quietly, spark, path)
+    atexit.register(_remove_quietly, spark, path, table)
     out = spark.read.table(table)
     out.stored_at = path
     return out

@@ -8,7 +8,8 @@ by the sample's rank (its 32-byte name) with the names of what lies before and a
 sample. Samples that occur once take no further part; the others travel with up to ``length`` bytes around them.
 
 The sort needs names only: a window is repeated if an earlier one (smaller document id, or same document and earlier
-start) has the same names. Names are 64-bit fingerprints, compared within one sample rank.
+start) has the same names. Names are 64-bit fingerprints within one sample rank; every pair that they call equal is held
+against each other byte by byte before anything is removed.
 """
 
 from __future__ import annotations
@@ -108,16 +109,48 @@ def repeated(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray,
 
 
 def _repeated_slice(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.ndarray, right: np.ndarray, pool: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """``repeated`` for whole groups of a rank, in the order of documents and places."""
+    """``repeated`` for whole groups of a rank, in the order of documents and places.
+
+    Windows of one name are held against each other byte by byte; should a name ever stand for two strings, the group
+    is named again by the strings themselves.
+    """
+    for exact in (False, True):
+        own, first, offset = _named(h, doc, place, low, high, left, right, pool, length, exact)
+        if exact or _equal(own, first, offset, left, pool, length):
+            return own, offset
+    raise AssertionError
+
+
+def _equal(own: np.ndarray, first: np.ndarray, offset: np.ndarray, left: np.ndarray, pool: np.ndarray, length: int) -> bool:
+    """Whether all windows equal their first one. Windows of a pair at successive offsets are one stretch, read once."""
+    order = np.lexsort((offset, first, own))
+    o, f, d = own[order], first[order], offset[order].astype(np.int64)
+    if len(o) == 0:
+        return True
+    head = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (f[1:] != f[:-1]) | (d[1:] != d[:-1] + 1)]))
+    last = np.concatenate([head[1:], [len(o)]]) - 1
+    size = length + d[last] - d[head]
+    a, b = left[o[head]] - d[last], left[f[head]] - d[last]
+    step = max(1, (1 << 22) // (length + 256))
+    for i in range(0, len(head), step):
+        n = size[i : i + step]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        if not np.array_equal(pool[np.repeat(a[i : i + step], n) + within], pool[np.repeat(b[i : i + step], n) + within]):
+            return False
+    return True
+
+
+def _named(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, left: np.ndarray, right: np.ndarray, pool: np.ndarray, length: int, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sample, sample of the first window of the same name, offset) of every later window."""
     span = length - GRAM
     power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(span, _STEP, np.uint64)]), dtype=np.uint64)
     after = np.zeros(len(h), np.uint64)
-    for j in range(span):  # names of all bytes after the sample that some window needs
+    for j in range(span if not exact else 0):  # names of all bytes after the sample that some window needs
         use = np.flatnonzero(span - low > j)
         after[use] += _NAMES[pool[right[use] + j]] * power[j]
-    before, who, offset = np.zeros(len(h), np.uint64), [], []
+    before, who, firsts, offset = np.zeros(len(h), np.uint64), [], [], []
     for d in range(span + 1):
-        if d:
+        if d and not exact:
             use = np.flatnonzero(high >= d)
             before[use] += _NAMES[pool[left[use] - d]] * power[d]
             use = np.flatnonzero(low < d)
@@ -125,15 +158,21 @@ def _repeated_slice(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.n
         use = np.flatnonzero((low <= d) & (high >= d))
         if len(use) < 2:
             continue
-        name = _mix(_mix(h[use], before[use]), after[use])
+        if exact:
+            strings: dict[bytes, int] = {}
+            name = np.array([strings.setdefault(pool[x - d : x - d + length].tobytes(), len(strings)) for x in left[use].tolist()], np.uint64)
+        else:
+            name = _mix(_mix(h[use], before[use]), after[use])
         by = np.argsort(name, kind="stable")
         name = name[by]
         head = np.concatenate([[True], name[1:] != name[:-1]])
         first, own = use[by[np.flatnonzero(head)[np.cumsum(head) - 1]]], use[by]
         later = (doc[own] > doc[first]) | (doc[own] == doc[first]) & (place[own] > place[first])
         who.append(own[later].astype(np.int32))
+        firsts.append(first[later].astype(np.int32))
         offset.append(np.full(int(later.sum()), d, np.uint8))
-    return (np.concatenate(who), np.concatenate(offset)) if who else (np.zeros(0, np.int32), np.zeros(0, np.uint8))
+    none = np.zeros(0, np.int32)
+    return (np.concatenate(who), np.concatenate(firsts), np.concatenate(offset)) if who else (none, none, np.zeros(0, np.uint8))
 
 
 class _Block:
@@ -186,7 +225,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     the remaining UTF-8 bytes, ``n_spans`` counts maximal removed runs. Nothing matches across documents.
 
     Null texts are empty. Rows with a null id match nothing and keep all bytes. Rows that repeat an id are compared by
-    start alone, so equal rows keep each other. An empty table gives an empty one.
+    start alone, so equal rows keep each other. An empty table gives an empty one. ``length`` is 32 to 287 bytes; other
+    lengths raise an error.
     """
     if not GRAM <= length <= GRAM + 255:
         raise ValueError(f"length is {GRAM} to {GRAM + 255}")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a block of candidates (at least, at most) and queries in a block; a task holds one block of each.
 BLOCK, QUERIES, CELL_BITS = (1024, 32768), 1024, 6
+#: Sums up to here are whole numbers in double precision.
+MOST_EXACT = float(1 << 53)
 
 
 def usable(vec: str) -> Column:
@@ -35,11 +37,13 @@ def search(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k:
     Bounds come from the cells alone. Vectors are then read in the order of their upper bounds, until the kth best
     score exceeds the next bound; equal scores go to the smaller id, so a bound equal to it is still read.
     """
+    if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] >= MOST_EXACT:
+        return _by_whole_numbers(q, q_id, x, x_id, k)
     cell, low, high = cells(x)
     lower, upper = (np.take_along_axis(e.T, cell.astype(np.int64), 0) for e in (low, high))
     out = []
     up, down = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
-    most = up @ upper.T + down @ lower.T  # sums of integers far below 2**53: exact
+    most = up @ upper.T + down @ lower.T  # sums of integers below MOST_EXACT: exact
     least = up @ lower.T + down @ upper.T
     for i in range(len(q)):
         own = x_id != q_id[i]
@@ -59,12 +63,23 @@ def search(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k:
     return out
 
 
+def _by_whole_numbers(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """The same for components so large that bounds in double precision would not be exact; scores have to fit a long."""
+    rows, out = x.astype(object), []
+    for own, i in zip(q.astype(object), q_id.tolist()):
+        best = sorted((-int(s), v) for s, v in zip(rows @ own, x_id.tolist()) if v != i)[:k]
+        out += [(i, v, -s) for s, v in best]
+    if any(abs(s) >= 1 << 63 for *_, s in out):
+        raise OverflowError("an inner product does not fit a long")
+    return out
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of highest integer inner product for each query row, itself excluded.
 
     Components become floor(scale * x). Rows whose vector is null, empty or holds null or non-finite components, and
     rows with a null id, take no part; vectors of another length than the query's are no candidates. Rows that repeat
-    an id count once (the smallest vector). Fewer than k candidates give fewer rows; an empty table gives none.
+    an id count once (the smallest vector). Scores are exact, however large; one that does not fit a long raises an error. Fewer than k candidates give fewer rows; an empty table gives none.
 
     Blocks of queries meet blocks of candidates; each pair of blocks is a task of bounded size and hands on at most k
     rows a query. Blocks of candidates grow with the table from 1,024 to 32,768 rows.
