@@ -90,6 +90,8 @@ def repeated(h: np.ndarray, doc: np.ndarray, place: np.ndarray, low: np.ndarray,
     Sample i lies at ``place[i]`` of document ``doc[i]`` and answers for the windows that start ``low[i]`` to
     ``high[i]`` bytes before it. ``pool[left[i] - 1 - j]`` are the bytes before it and ``pool[right[i] + j]`` those after.
     """
+    if len(h) == 0:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     order = np.lexsort((place, doc))
     rank = h[order]
     group = np.argsort(rank, kind="stable")
