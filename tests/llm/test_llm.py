@@ -127,6 +127,18 @@ def test_near_duplicates_are_found_across_many_shards(spark, monkeypatch):
     assert neardup.audit(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=3) >= 0.9
 
 
+def test_near_duplicates_are_found_across_shards_of_shards(spark, monkeypatch):
+    for name, value in (("SHARD", 25), ("SLICE", 20), ("MOST_CENTROIDS", 4), ("SPLIT", 100), ("PART", 90)):
+        monkeypatch.setattr(neardup, name, value)
+    rnd = np.random.default_rng(3)
+    base = rnd.normal(size=(60, 16))
+    rows = [(i, (base[i % 60] + 0.12 * rnd.normal(size=16)).tolist()) for i in range(1000)] + [(2000 + i, [1.0] * 16) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert neardup.audit(df, every=3) >= 0.9
+    got = {r.vec_id: r.n_links for r in neardup.near_duplicates(df).collect()}
+    assert all(got[2000 + i] == 49 for i in range(50)) and all(got[i] <= n for i, (n, _) in brute.cosine(rows).items())
+
+
 def test_jaccard_classes(spark, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(docs).collect()}
     assert got == brute.jaccard(corpus())

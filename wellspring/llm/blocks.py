@@ -263,14 +263,9 @@ def told(rows: pa.Table, question_no: int = 0) -> np.ndarray:
 
 def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
     """Blocks with their answers, by the question's number, through ``fn``: one task per block."""
-    return tell_placed(table, [a.select("block", F.lit(i).alias("question"), "bucket", "payload") for i, a in answers.items()], fn, schema)
-
-
-def tell_placed(table: DataFrame, answers: Sequence[DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
-    """``tell`` with tables of answers (block, question, bucket, payload). Where these lie in the blocks' buckets nothing is moved."""
     every = None
-    for a in answers:
-        part = a.where("block >= 0").select("block", "question", "bucket", "payload")
+    for i, a in answers.items():
+        part = a.where("block >= 0").select("block", F.lit(i).alias("question"), "bucket", "payload")
         every = part if every is None else every.unionByName(part)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -281,3 +276,25 @@ def tell_placed(table: DataFrame, answers: Sequence[DataFrame], fn: Callable[[in
 
     # An answer never lacks its block; a block without any key has no answer.
     return table.select("block", "payload").groupBy("block").cogroup(every.groupBy("block")).applyInArrow(run, schema)
+
+
+def tell_placed(table: DataFrame, answers: Sequence[DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
+    """``tell`` with tables of ``placed_answers``: they lie in the blocks' buckets, so they meet without being moved."""
+    rows = table.select("block", "payload")
+    for i, a in enumerate(answers):
+        own = a.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("question", "bucket", "payload")).alias(f"a{i}"))
+        rows = rows.join(own.hint("merge"), "block", "left")
+    n_answers = len(answers)
+    fields = pa.schema([("question", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                trim()
+                parts = [pa.Table.from_arrays(own.values.flatten(), schema=fields) for i in range(n_answers) if (own := batch.column(f"a{i}")[k]).is_valid]
+                out = fn(batch.column("block")[k].as_py(), batch.column("payload")[k].as_py(), pa.concat_tables(parts) if parts else fields.empty_table())
+                yield from out.combine_chunks().to_batches()
+                del out, parts
+                trim()  # a worker that waits holds nothing of the last block
+
+    return rows.mapInArrow(run, schema)

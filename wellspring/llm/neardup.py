@@ -1,7 +1,7 @@
 """Near duplicates of embeddings by a robust-pruned flat graph.
 
-Equal vectors become one. Vectors go to the shards of their nearest centroids, two each, so that shards overlap; large
-shards are cut into slices. In every slice a flat graph is built: each vector keeps neighbours that no closer neighbour
+Equal vectors become one. Vectors go to the shards of their nearest centroids, two each, so that shards overlap; very
+large shards are split once more by centroids of their own, and what is still large is cut into slices. In every slice a flat graph is built: each vector keeps neighbours that no closer neighbour
 covers (robust pruning). The adjacency lists that a vector has from its shards are united. Then every vector searches
 the slices of its shards: greedily from the slice's medoid until its surroundings are reached, and on from every vector
 in range to all of that one's neighbours until none is left in range. What is found is verified in double precision.
@@ -23,6 +23,9 @@ from .topk import usable
 SHARD, SLICE, OVERLAP = 1000, 2000, 2
 DEGREE, FAR, ALPHA, BEAM = 24, 8, 1.2, 24
 FIT_ROWS, MOST_CENTROIDS = 20_000, 2048
+#: Rows from which on a shard is split by centroids of its own, the sample that these are fitted on, and rows that a
+#: task assigns.
+SPLIT, FIT_SPLIT, PART = 16_000, 20_000, 20_000
 #: Rows that the audit asks for at a time.
 AUDIT = 5000
 
@@ -107,6 +110,51 @@ def _vectors(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy().reshape(rows, -1).astype(np.float64)
 
 
+def _split(placed: DataFrame) -> DataFrame:
+    """Rows with ``shards``, those of shards over SPLIT rows replaced by the nearest of the shard's own centroids.
+
+    A large shard's centroids are fitted on a bounded sample of it, in one task a shard; its rows are then assigned in
+    tasks of about PART rows, each with a copy of these centroids.
+    """
+    each = placed.withColumn("shard", F.explode("shards"))
+    large = stored(each.groupBy("d", "shard").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SPLIT), "large")
+    if large.isEmpty():
+        return placed
+    placed = stored(placed, "assigned")
+    each = placed.withColumn("shard", F.explode("shards")).join(large, ["d", "shard"], "left").drop("shards")
+    dice = F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 40))
+    some = each.where(F.col("rows").isNotNull() & (dice < F.least(F.lit(1.0), F.lit(float(FIT_SPLIT)) / F.col("rows")) * F.lit(float(1 << 40))))
+
+    def fit(group: pa.Table) -> pa.Table:
+        group = group.sort_by("rep")
+        k = min(MOST_CENTROIDS, max(2, group.column("rows")[0].as_py() // SHARD), group.num_rows)
+        found = centroids(unit(_vectors(group.column("v"), group.num_rows)), k)
+        return pa.table({"d": group.column("d")[:1].take([0] * len(found)), "shard": group.column("shard")[:1].take([0] * len(found)), "rows": group.column("rows")[:1].take([0] * len(found)), "no": pa.array(range(len(found)), pa.int64()), "v": pa.array(found.tolist(), pa.list_(pa.float64()))})
+
+    fitted = stored(some.select("d", "shard", "rows", "rep", "v").groupBy("d", "shard").applyInArrow(fit, "d int, shard long, rows long, no long, v array<double>"), "centroids")
+    parts = F.ceil(F.col("rows") / PART).cast("int")
+    asking = each.where("rows IS NOT NULL").withColumn("part", F.pmod(F.xxhash64(F.lit(8), "rep"), parts).cast("int")).select("d", "shard", "part", "rep", "v")
+    copies = fitted.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("d", "shard", "part", "no", "v")
+
+    def assign(rows: pa.Table, own: pa.Table) -> pa.Table:
+        if own.num_rows == 0 or rows.num_rows == 0:
+            return pa.table({"rep": rows.column("rep"), "shards": pa.array([[_inner(s, 0)] for s in rows.column("shard").to_pylist()], pa.list_(pa.int64()))})
+        own, shard = own.sort_by("no"), rows.column("shard")[0].as_py()
+        near = unit(_vectors(rows.column("v"), rows.num_rows)) @ _vectors(own.column("v"), own.num_rows).T
+        best = np.argsort(-near, axis=1, kind="stable")[:, :OVERLAP]
+        return pa.table({"rep": rows.column("rep"), "shards": pa.array([[_inner(shard, i) for i in b] for b in best.tolist()], pa.list_(pa.int64()))})
+
+    inner = asking.groupBy("d", "shard", "part").cogroup(copies.groupBy("d", "shard", "part")).applyInArrow(assign, "rep long, shards array<long>")
+    every = inner.unionByName(each.where("rows IS NULL").select("rep", F.array("shard").alias("shards")))
+    united = every.groupBy("rep").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("shards")))).alias("shards"))  # at most four
+    return placed.drop("shards").join(united, "rep")
+
+
+def _inner(shard: int, i: int) -> int:
+    """Number of a shard's i-th part, beyond those of all whole shards."""
+    return (shard + 1) * (1 << 20) + i
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept): rows linked by cosine >= ``threshold`` in double precision.
 
@@ -138,10 +186,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
                     continue
                 near = fitted[d] @ unit(np.array([v], np.float64))[0]
                 out.append(sorted(np.argsort(-near, kind="stable")[:OVERLAP].tolist()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, "shards"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=[*batch.schema.names, "shards"])
 
-    schema = "rep long, n long, v array<double>, d int, shards array<int>"
-    placed = reps.select("rep", "n", "v", "d").mapInArrow(assign, schema).withColumn("shard", F.explode("shards"))
+    schema = "rep long, n long, v array<double>, d int, shards array<long>"
+    placed = _split(reps.select("rep", "n", "v", "d").mapInArrow(assign, schema)).withColumn("shard", F.explode("shards"))
     size = placed.groupBy("d", "shard").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
     placed = placed.join(F.broadcast(size), ["d", "shard"]).withColumn("slice", F.pmod(F.xxhash64(F.lit(5), "rep"), "slices").cast("int"))
     placed = stored(placed, "shards")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, neardup, ngram_join, pst, suffix_dedup, topk, toxicity, url_filter
+from . import bpe, langid, mixing, neardup, ngram_join, pst, sql, suffix_dedup, topk, toxicity, url_filter
 
 #: Fixed values of the contract: rules as (verdict, host, path).
 URL_RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
@@ -84,4 +84,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the exact searches and joins; models, seeded choices and a tokenizer have none and are held against brute force."""
+    return dict(sql.ORACLE)
