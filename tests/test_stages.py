@@ -327,6 +327,16 @@ def test_binary_alignments(spark, tmp_path):
         bam.bam(spark, str(tmp_path / "b.bam")).collect()
 
 
+def test_headers_sorted_records_and_first_ones(spark, tmp_path):
+    head = "@HD\tVN:1.6\n@SQ\tSN:chr2\tLN:9\n@SQ\tSN:chr1\tLN:5\n"
+    rows = [("b", "chr2", 5), ("a", "chr1", 9), ("c", "chr1", 2)]
+    path = write(tmp_path / "x.sam", head + "".join(f"{q}\t0\t{c}\t{p}\t60\t1M\t*\t0\t0\tA\tI\tNH:i:3\n" for q, c, p in rows))
+    assert [r.rname for r in formats.contigs(spark, path).collect()] == ["chr2", "chr1"]
+    sorted_rows = formats.coordinate_sorted(formats.sam(spark, path, ("NH",)), 2)
+    assert [(r.qname, r.NH) for r in sorted_rows.collect()] == [("c", "3"), ("a", "3"), ("b", "3")]
+    assert [r.qname for r in formats.numbered_first(sorted_rows, "rname", "pos").orderBy("qname").collect()] == ["b", "c"]
+
+
 def test_isoform_files(spark, tmp_path):
     rows = spark.createDataFrame([("c1", ["T1"], 10, "m1"), ("c1", ["T1", "T2"], 5, "m2"), ("c2", None, 1, "m3")], "well string, transcripts array<string>, reads long, molecule string")
     axis = lambda *x: spark.createDataFrame([(n, i + 1) for i, n in enumerate(x)], "name string, no long")
