@@ -44,8 +44,7 @@ def best_gene(reads: DataFrame, features: DataFrame, strand: int = 0, size: int
 def assign(reads: DataFrame, exons: DataFrame, inner: DataFrame, strand: int = 0, size: int = 1000) -> DataFrame:
     """(qname, gene, category): exons first, introns for what has none; ties are Ambiguity, nothing is Intergenic.
 
-    Exons and introns are met in one overlap join and told apart by a rank; one shuffle by read settles the rest. A
-    read meets few genes, so its candidates are a short list.
+    Exons and introns are met in one overlap join and told apart by a rank; one shuffle by read settles the rest.
     """
     features = exons.select("chrom", "strand", "gene", "start", "end", F.lit(1).alias("rank")).unionByName(inner.select("chrom", "strand", "gene", "start", "end", F.lit(0).alias("rank")))
     met = overlap_join(reads.select("qname", "chrom", F.col("strand").alias("rs"), "b_start", "b_end"), features, ["chrom"], "b_start", "b_end", "start", "end", size)
@@ -53,10 +52,12 @@ def assign(reads: DataFrame, exons: DataFrame, inner: DataFrame, strand: int = 0
         met = met.where((F.col("strand") == F.col("rs")) if strand == 1 else (F.col("strand") != F.col("rs")))
     rows = met.select("qname", "gene", "rank", "overlap").unionByName(reads.select("qname", F.lit(None).cast("string").alias("gene"), F.lit(-1).alias("rank"), F.lit(0).cast("long").alias("overlap")))
     per = rows.repartition("qname").groupBy("qname", "rank", "gene").agg(F.sum("overlap").alias("overlap"))
-    every = per.groupBy("qname").agg(F.max(F.struct("rank", "overlap", "gene")).alias("top"), F.collect_list(F.struct("rank", "overlap")).alias("l"))
-    ties = F.size(F.filter("l", lambda x: (x["rank"] == F.col("top.rank")) & (x["overlap"] == F.col("top.overlap"))))
-    category = F.when(F.col("top.rank") < 0, "Intergenic").when(ties > 1, "Ambiguity").when(F.col("top.rank") == 1, "Exon").otherwise("Intron")
-    return every.select("qname", F.when(ties == 1, F.col("top.gene")).alias("gene"), category.alias("category"))
+    # Rank and overlap as one number; genes tie if the last and the first of those with the best one differ.
+    best = F.col("rank") * F.lit(1 << 40) + F.col("overlap")
+    every = per.groupBy("qname").agg(F.max(F.struct(best.alias("s"), "gene")).alias("top"), F.min(F.struct((-best).alias("s"), "gene")).alias("other"))
+    tied, score = F.col("top.gene") != F.col("other.gene"), F.col("top.s")
+    category = F.when(score < 0, "Intergenic").when(tied, "Ambiguity").when(score >= 1 << 40, "Exon").otherwise("Intron")
+    return every.select("qname", F.when(~tied, F.col("top.gene")).alias("gene"), category.alias("category"))
 
 
 def gene_models(exons: DataFrame, shortest: int = 100) -> DataFrame:
