@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +128,14 @@ def test_consensus(spark):
     assert got[1][0] == "A" and got[1][1] >= 29 and got[2][0] == "C" and got[2][1] >= 35 and got[3][0] == "G"
 
 
+def test_consensus_of_equally_likely_bases_does_not_hang_on_the_order_of_reads(spark):
+    """Both bases have the same qualities, so that A, the first of them, is called in whatever order they are added up."""
+    orders = sorted(set(permutations([(b, q) for b in "AT" for q in (3, 11, 20)])))
+    rows = [(f"m{k:03d}", 0, b, q) for k, order in enumerate(orders) for b, q in order]
+    calls = M.consensus(spark.createDataFrame(rows, "molecule string, pos long, base string, qual int").coalesce(1)).collect()
+    assert len(calls) == len(orders) and {(r.base, r.qual) for r in calls} == {("A", 3)}
+
+
 def test_quantification(spark):
     rows = spark.createDataFrame([("c", ["T1"], 10), ("c", ["T1", "T2"], 5)], "well string, transcripts array<string>, reads long")
     assert {r.tx: (r.unique_molecules, r.fractional, r.total_reads) for r in M.quantify(rows).collect()} == {"T1": (1, 1.5, 15), "T2": (0, 0.5, 5)}

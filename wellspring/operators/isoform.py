@@ -11,9 +11,13 @@ MOST_QUALITY = 93
 
 
 def consensus(bases: DataFrame) -> DataFrame:
-    """(molecule, pos, base, qual) from (molecule, pos, base, qual): the base of highest posterior, N up to 0.3."""
+    """(molecule, pos, base, qual) from (molecule, pos, base, qual): the base of highest posterior, N up to 0.3.
+
+    Log-likelihoods count to nine digits: what is left of a sum beyond that depends on the order of the reads and would
+    decide between bases that are equally likely.
+    """
     error = F.pow(F.lit(10.0), -F.least(F.greatest("qual", F.lit(1)), F.lit(MOST_QUALITY)) / 10.0)
-    like = [F.sum(F.when(F.col("base") == b, F.ln(1 - error)).otherwise(F.ln(error / 3))).alias(f"l{b}") for b in BASES]
+    like = [F.round(F.sum(F.when(F.col("base") == b, F.ln(1 - error)).otherwise(F.ln(error / 3))), 9).alias(f"l{b}") for b in BASES]
     sums = bases.where(F.col("base").isin(*BASES)).groupBy("molecule", "pos").agg(*like)
     top = F.greatest(*[f"l{b}" for b in BASES])
     p = 1 / sum((F.exp(F.col(f"l{b}") - top) for b in BASES[1:]), F.exp(F.col("lA") - top))
