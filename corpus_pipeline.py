@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,14 +37,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that 100-byte passages repeat; of a cut character nothing stays."""
-    cut = suffix_dedup.remove_repeats(docs, 100, carry=("text", "lang", "source", "n_chars"))
-
-    @F.pandas_udf("string")
-    def whole_characters(kept: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in kept:
-            yield batch.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(whole_characters("kept"))
+    # Characters are made whole where bytes are cut, and the text comes from what is kept: a second Python step on top of
+    # the cut, or the text a second time beside the blocks, would double what a task holds.
+    rows = docs.withColumn("_null", F.col("text").isNull())
+    cut = suffix_dedup.remove_repeats(rows, 100, carry=("lang", "source", "n_chars", "_null"), whole=True)
+    text = F.when(~F.col("_null"), F.col("kept").cast("string"))
     n_chars = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return cut.withColumn("text", text).withColumn("n_chars", n_chars).select(*COLUMNS)
 

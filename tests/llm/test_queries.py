@@ -207,6 +207,21 @@ def test_rows_that_repeat_an_id(spark):
     assert corpus_pipeline.repeated_passages(spark, df, "").count() == 4
 
 
+def test_repeated_passages_hold_one_python_worker_a_task(spark, capsys):
+    """Whole characters, null texts and counts as before, without a second Python step on top of the cut."""
+    passage = "".join(chr(233 + i % 90) + "xy " for i in range(40))  # two bytes of a character may part
+    rows = [(1, "head " + passage), (2, "\u00ea" + passage + "tail"), (3, "z" + passage[1:] + "\u4e2d"), (4, None), (5, ""), (None, passage), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.repeated_passages(spark, docs, "")
+    cut = suffix_dedup.remove_repeats(docs, 100, carry=("text",)).collect()
+    kept = {(r.doc_id, r.text if r.n_removed == 0 else bytes(r.kept).decode("utf-8", "ignore"), r.n_removed > 0) for r in cut}
+    want = {(i, t, len(t) if removed else 7) for i, t, removed in kept}
+    assert {(r.doc_id, r.text, r.n_chars) for r in out.collect()} == want and sum(r.n_removed > 0 for r in cut) == 2
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "FlatMapCoGroupsInArrow" in plan and "ArrowEvalPython" not in plan
+
+
 @pytest.mark.parametrize("name", ["op1_bpe", "op2_topk", "op3_lm_score", "op4_embedding_dedup", "op5_ngram_join", "op6_suffix_dedup", "op7_mixing", "op8_toxicity", "op9_langid", "op10_url_filter"])
 def test_empty_tables(spark, tables, tmp_path, name):
     for t in ("documents", "labels", "embeddings", "pages"):

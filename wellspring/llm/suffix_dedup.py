@@ -219,12 +219,13 @@ def _rows(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table({n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(("kind", "bucket", "block", "payload"), kinds))})
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), whole: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) and the columns ``carry``: each row's text without the bytes that earlier windows repeat.
 
     A byte goes if it lies in a string of ``length`` bytes that also starts earlier in ``docs``: in a smaller id, or in
     the same id at an earlier start; overlapping strings count, and all are judged on the input. ``kept`` (binary) joins
-    the remaining UTF-8 bytes, ``n_spans`` counts maximal removed runs. Nothing matches across documents.
+    the remaining UTF-8 bytes, ``n_spans`` counts maximal removed runs. Nothing matches across documents. ``whole``: of a
+    character that is cut nothing stays in ``kept``.
 
     Null texts are empty. Rows with a null id match nothing and keep all bytes. Rows that repeat an id are compared by
     start alone, so equal rows keep each other. An empty table gives an empty one. ``length`` is 32 to 287 bytes; other
@@ -311,6 +312,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                 removed = int(g.sum())
                 spans = int(g[0]) + int((g[1:] & ~g[:-1]).sum())
                 rest = data[at[n] : at[n + 1]][~g].tobytes()
+                rest = rest.decode("utf-8", "ignore").encode() if whole else rest
             n_removed.append(removed)
             n_spans.append(spans)
             kept.append(rest)
