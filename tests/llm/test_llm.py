@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +94,53 @@ def test_pst_keys_have_bits_to_spare(spark, docs, monkeypatch):
     assert sorted(spare) == [0, 24, 28]
 
 
+def test_pst_memory_of_a_block():
+    """A block's levels take under 75 bytes a token; arrays of eight bytes a token for each count took 102."""
+    rnd, n_docs = np.random.default_rng(3), 300
+    texts = [b" ".join(b"w%d" % w for w in rnd.zipf(1.3, 2000) % 50_000) for _ in range(n_docs)]
+    payload = pst.pack_tokens(np.arange(n_docs), texts, np.ones(n_docs, bool))
+    told = lambda q, weights: pa.table({"question": pa.array([q], pa.int32()), "bucket": pa.array([0], pa.int32()), "payload": [pst.B.pack(weights)]})
+    words = pst._Tokens(payload).words()[1]
+    stats = float(words.sum()), float(len(words))
+    answers = pa.concat_tables([told(0, words), told(1, pst.pairs(pst._Tokens(payload)).asked()[1])])
+    tracemalloc.start()
+    try:
+        tokens = pst._Tokens(payload)
+        tracemalloc.reset_peak()
+        levels = pst._levels(tokens, answers, stats, 2, pst.Tests())[0]
+        taken = tracemalloc.get_traced_memory()[1] / len(tokens.token)
+    finally:
+        tracemalloc.stop()
+    assert len(levels) == 2 and len(levels[1].keys) > 10_000
+    assert taken < 75
+
+
+def test_placed_answers_meet_their_blocks_one_by_one(spark):
+    b = pst.B
+    table = b.blocks(spark.range(200).selectExpr("id", "repeat(id, 50) t"), "id", "t", size=1000, placed=True)
+    answers = None
+    for q in range(3):
+        one = table.selectExpr("block", f"{q} question", "0 bucket", "payload").union(spark.sql(f"SELECT -1L, {q}, 0, X'00'"))
+        answers = b.placed_answers(one, table, answers)
+
+    def fn(block, payload, told):
+        return pa.table({"block": [block], "own": [told.column("payload").to_pylist() == [payload] * 3], "told": [str(sorted(told.column("question").to_pylist()))]})
+
+    out = b.tell_placed(table, answers, fn, "block long, own boolean, told string")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan and "SortMergeJoin" not in plan
+    rows = out.collect()
+    assert len(rows) > 5 and sorted(r.block for r in rows) == sorted(r.block for r in table.select("block").collect())
+    assert all(r.own and r.told == "[0, 1, 2]" for r in rows)
+
+
+def test_pst_only_empty_texts(spark):
+    none = spark.createDataFrame([(1, None), (2, ""), (3, " ")], "doc_id long, text string")
+    got = pst.score(none, F.lit(True)).collect()
+    assert [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in sorted(got)] == [(1, 1, 1, 3), (2, 1, 1, 3), (3, 1, 1, 3)]
+    assert all(r.score == pytest.approx(r.base_score) for r in got)
+
+
 def test_near_duplicate_vectors(spark):
     rnd = np.random.default_rng(2)
     base = rnd.normal(size=(40, 16))

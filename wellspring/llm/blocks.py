@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -161,9 +162,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., byte
     return out
 
 
-def placed_answers(answers: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Answers (block, question, bucket, payload) written once to the buckets of the ``placed`` blocks that they go to."""
-    out = stored_by(answers.select("block", "question", "bucket", "payload"), "answers", "block", blocks.places)
+def placed_answers(answers: DataFrame, blocks: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Answers (block, question, bucket, payload) written once to the buckets of the ``placed`` blocks that they go to.
+
+    With those of all questions ``before``, to whose table they are added: one table has all that a block was told.
+    """
+    out = stored_by(answers.select("block", "question", "bucket", "payload"), "answers", "block", blocks.places, before)
     release(answers.sparkSession)
     return out
 
@@ -257,17 +261,29 @@ def totals(asked: DataFrame, by: Sequence[str] = ("bucket",), finish: dict[int,
 
 def told(rows: pa.Table, question_no: int = 0) -> np.ndarray:
     """The totals of a block's answers to one question, in the order of its keys."""
-    own = sorted((b, p) for q, b, p in zip(rows.column("question").to_pylist(), rows.column("bucket").to_pylist(), rows.column("payload").to_pylist()) if q == question_no)
-    return np.concatenate([unpack(p)[0] for _, p in own]) if own else np.zeros(0)
+    own = rows.filter(pc.equal(rows.column("question"), question_no)).sort_by("bucket").column("payload")
+    return np.concatenate([unpack(p.as_py())[0] for p in own]) if len(own) else np.zeros(0)
 
 
 def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
     """Blocks with their answers, by the question's number, through ``fn``: one task per block."""
     every = None
     for i, a in answers.items():
-        part = a.where("block >= 0").select("block", F.lit(i).alias("question"), "bucket", "payload")
+        part = a.select("block", F.lit(i).alias("question"), "bucket", "payload")
         every = part if every is None else every.unionByName(part)
+    return _met(table, every, fn, schema)
+
+
+def tell_placed(table: DataFrame, answers: DataFrame, fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
+    """``tell`` with the table of ``placed_answers``: they lie in the blocks' buckets, so they meet without being moved.
+
+    A task handles the blocks of a bucket one by one, with their answers as they were written; nothing gathers a block's
+    answers into one value, or those of several blocks.
+    """
+    return _met(table, answers, fn, schema)
 
+
+def _met(table: DataFrame, answers: DataFrame, fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         trim()
         out = fn(left.column("block")[0].as_py(), left.column("payload")[0].as_py(), right)
@@ -275,26 +291,5 @@ def tell(table: DataFrame, answers: dict[int, DataFrame], fn: Callable[[int, byt
         return out
 
     # An answer never lacks its block; a block without any key has no answer.
-    return table.select("block", "payload").groupBy("block").cogroup(every.groupBy("block")).applyInArrow(run, schema)
-
-
-def tell_placed(table: DataFrame, answers: Sequence[DataFrame], fn: Callable[[int, bytes, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
-    """``tell`` with tables of ``placed_answers``: they lie in the blocks' buckets, so they meet without being moved."""
-    rows = table.select("block", "payload")
-    for i, a in enumerate(answers):
-        own = a.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("question", "bucket", "payload")).alias(f"a{i}"))
-        rows = rows.join(own.hint("merge"), "block", "left")
-    n_answers = len(answers)
-    fields = pa.schema([("question", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                trim()
-                parts = [pa.Table.from_arrays(own.values.flatten(), schema=fields) for i in range(n_answers) if (own := batch.column(f"a{i}")[k]).is_valid]
-                out = fn(batch.column("block")[k].as_py(), batch.column("payload")[k].as_py(), pa.concat_tables(parts) if parts else fields.empty_table())
-                yield from out.combine_chunks().to_batches()
-                del out, parts
-                trim()  # a worker that waits holds nothing of the last block
-
-    return rows.mapInArrow(run, schema)
+    own = answers.where("block >= 0").select("block", "question", "bucket", "payload")
+    return table.select("block", "payload").groupBy("block").cogroup(own.groupBy("block")).applyInArrow(run, schema)

@@ -13,7 +13,7 @@ questions reaches them, so no table of the vocabulary exists in one place.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +27,8 @@ from .ngram_join import word_hash
 
 #: Text of a block: the larger, the fewer blocks ask for the same key, and the more memory a worker needs.
 BLOCK_BYTES = 12 << 20
+#: Tokens whose sums and hashes are in memory at a time.
+SLICE = 1 << 17
 #: Bits that keys of words, and of contexts and grams, have to spare: two of them share a count with odds of 2**-bits
 #: for each key, if there are as many keys as estimated (a word in 50 bytes, a context or gram in 8).
 WORD_BITS, GRAM_BITS = 28, 24
@@ -93,35 +95,70 @@ class _Tokens:
         return self.vocabulary, n.astype(np.uint32)
 
 
+def _slices(n: int) -> Iterator[slice]:
+    return (slice(i, i + SLICE) for i in range(0, n, SLICE))
+
+
 class _Level:
-    """The contexts of some words' length: which tokens have one, and the distinct (context, word) keys."""
+    """The contexts of some words' length: which tokens have one, and the distinct (context, word) keys.
+
+    A token has a few numbers of 4 bytes here: all that is longer is kept by distinct key, or made for a slice of the tokens at a time.
+    """
 
-    def __init__(self, tokens: _Tokens, at: np.ndarray, context: Callable[[np.ndarray], np.ndarray]):
-        """``at``: tokens in such a context; ``context``: its hashes at some or all (an index or slice) of these."""
-        self.at, self.context, self.learnt = at.astype(np.int32), context, tokens.learnt[at]
-        self.keys, of = np.unique(join_hash(context(slice(None)), tokens.vocabulary[tokens.token[at]]), return_inverse=True)
-        self.of = of.astype(np.int32)
-        self.occurrences = self.count = self.parent = np.zeros(0)
+    def __init__(self, tokens: _Tokens, at: np.ndarray, names: np.ndarray, context: np.ndarray):
+        """``at``: tokens in such a context; ``context``: the numbers of theirs among ``names``, rising distinct hashes."""
+        self.at, self.names, self.context, self.learnt = at, names, context, tokens.learnt[at]
+        hashes = np.empty(len(at), np.uint64)
+        for some in _slices(len(at)):
+            hashes[some] = join_hash(names[context[some]], tokens.vocabulary[tokens.token[at[some]]])
+        # np.unique with its inverse, which would take twice the memory.
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        new = np.ones(len(at), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+        self.keys = hashes[new]
+        del hashes
+        self.of = np.empty(len(at), np.int32)
+        self.of[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        self.seen = self.count = np.zeros(0)  # occurrences of the names, counts of the keys
 
     def asked(self) -> B.Asked:
         return self.keys, np.bincount(self.of[self.learnt], minlength=len(self.keys)).astype(np.uint32)
 
     def often(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of the level in contexts seen often enough, those contexts, and each such token's."""
-        at = np.flatnonzero(self.occurrences >= least)
-        return at, *np.unique(self.context(at), return_inverse=True)
+        """Tokens of the level in contexts seen often enough, those contexts, and by name their numbers."""
+        at = np.flatnonzero((self.seen >= least)[self.context]).astype(np.int32)
+        used = np.zeros(len(self.names), bool)
+        used[self.context[at]] = True
+        return at, self.names[used], np.cumsum(used, dtype=np.int32) - np.int32(1)
 
-    def gains(self, tests: Tests) -> B.Asked:
+    def gains(self, tests: Tests, prob: np.ndarray) -> B.Asked:
         """The block's contexts with their divergence sums (each learnt occurrence left out of its own counts) and, as
-        the imaginary part, their share of the number of distinct words that follow; both to 16 binary digits."""
-        at, contexts, state = self.often(tests.least)
-        at, state = at[self.learnt[at]], state[self.learnt[at]]
-        # Occurrences over their counts add up to the number of distinct words that follow.
-        follow = np.bincount(state, 1.0 / self.count[at], len(contexts))
-        c, n, p = self.count[at] - 1.0, self.occurrences[at] - 1.0, self.parent[at]
-        gain = np.bincount(state, np.log((c + tests.prior * p) / ((n + tests.prior) * p)), len(contexts))
+        the imaginary part, their share of the number of distinct words that follow; both to 16 binary digits.
+
+        ``prob``: each token's probability one level below."""
+        at, contexts, number = self.often(tests.least)
+        at = at[self.learnt[at]]
+        follow, gain = np.zeros(len(contexts)), np.zeros(len(contexts))
+        for some in _slices(len(at)):
+            own = at[some]
+            state, count = number[self.context[own]], self.count[self.of[own]].astype(np.float64)
+            # Occurrences over their counts add up to the number of distinct words that follow.
+            np.add.at(follow, state, 1.0 / count)
+            c, n, p = count - 1.0, self.seen[self.context[own]].astype(np.float64) - 1.0, prob[self.at[own]]
+            np.add.at(gain, state, np.log((c + tests.prior * p) / ((n + tests.prior) * p)))
         return contexts, (short(gain) + 1j * short(follow)).astype(np.complex64)
 
+    def grow(self, tests: Tests, follow: np.ndarray, prob: np.ndarray) -> None:
+        """Move ``prob`` from the level below to this one, where ``follow`` (words that follow, by context) is over 0."""
+        at, _, number = self.often(tests.least)
+        for some in _slices(len(at)):
+            own = at[some]
+            prior = follow[number[self.context[own]]].astype(np.float64)
+            own, prior = own[prior > 0], tests.back_off * prior[prior > 0]
+            place = self.at[own]
+            prob[place] = (self.count[self.of[own]] + prior * prob[place]) / (self.seen[self.context[own]] + prior)
+
 
 def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: int, tests: Tests) -> tuple[list[_Level], np.ndarray, np.ndarray]:
     """The levels that can be formed, word counts, and each token's probability in its longest known state.
@@ -130,47 +167,53 @@ def _levels(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: in
     words follow the contexts of k words that pass the divergence test (0: they do not). All pairs are counted; of longer
     contexts only those that are seen often enough.
     """
-    have = set(answers.column("question").to_pylist())
+    have = set(answers.column("question").unique().to_pylist())
     count = B.told(answers, 0).astype(np.float64)
-    prob = (count[t.token] + 0.1) / (stats[0] + 0.1 * (stats[1] + 1))
+    prob = ((count + 0.1) / (stats[0] + 0.1 * (stats[1] + 1)))[t.token]
     levels: list[_Level] = []
     for k in range(1, depth + 1):
         if k == 1:
             level = pairs(t)
-            level.occurrences = count[t.token[level.at - 1]]
+            level.seen = count
         else:
             # The context of k words ends a gram of the level below, whose count is the context's.
             below = levels[-1]
             of = np.full(len(t.token), -1, np.int32)
-            of[below.at] = np.arange(len(below.at), dtype=np.int32)
+            of[below.at] = below.of
             at = np.flatnonzero(t.place >= k).astype(np.int32)
-            before = of[at - 1]
-            keep = (before >= 0) & (below.count[before] >= tests.least)
-            at, before = at[keep], before[keep]
-            del of, keep
-            level = _Level(t, at, lambda some, below=below, before=before: below.keys[below.of[before[some]]])
-            level.occurrences = below.count[before]
+            context = of[at - 1]
+            del of
+            keep = (context >= 0) & (below.count >= tests.least)[context]
+            at, context = at[keep], context[keep]
+            del keep
+            level = _Level(t, at, below.keys, context)
+            level.seen = below.count
         levels.append(level)
         if 2 * k - 1 not in have:
             break
-        level.count, level.parent = B.told(answers, 2 * k - 1).astype(np.float64)[level.of], prob[level.at]
+        level.count = B.told(answers, 2 * k - 1)
         if 2 * k in have:
-            at, _, state = level.often(tests.least)
-            follow = B.told(answers, 2 * k).astype(np.float64)[state]
-            grown, prior = follow > 0, tests.back_off * follow
-            at, prior = at[grown], prior[grown]
-            prob[level.at[at]] = (level.count[at] + prior * level.parent[at]) / (level.occurrences[at] + prior)
+            level.grow(tests, B.told(answers, 2 * k), prob)
     return levels, count, prob
 
 
 def pairs(t: _Tokens) -> _Level:
     at = np.flatnonzero(t.place >= 1).astype(np.int32)
-    return _Level(t, at, lambda some: t.vocabulary[t.token[at[some] - 1]])
+    return _Level(t, at, t.vocabulary, t.token[at - 1])
+
+
+def _sums(t: _Tokens, answers: pa.Table, stats: tuple[float, float], depth: int, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By document: known tokens, and the log10 probabilities of order 0 and of the tree."""
+    count, prob = _levels(t, answers, stats, depth, tests)[1:]
+    add = lambda x: np.add.reduceat(x, t.start) if len(t.start) else np.zeros(0)
+    base = np.log10((count + 0.1) / (stats[0] + 0.1 * (stats[1] + 1)))
+    return add((count > 0).astype(np.int32)[t.token]), add(base[t.token]), add(np.log10(prob, out=prob))
 
 
 def _asked(block: int, rows: list[tuple[int, B.Scale, B.Asked]]) -> pa.Table:
+    fields = pa.schema([("question", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
     parts = [(q, B.asked_rows(block, scale, *own)) for q, scale, own in rows]
-    return pa.concat_tables([pa.table({"question": pa.array([q] * p.num_rows, pa.int32()), **{c: p.column(c) for c in ("bucket", "block", "payload")}}) for q, p in parts])
+    return pa.concat_tables([fields.empty_table(), *(pa.table({"question": pa.array([q] * p.num_rows, pa.int32()), **{c: p.column(c) for c in ("bucket", "block", "payload")}}) for q, p in parts)])
 
 
 _ASKS = "question int, bucket int, block long, payload binary"
@@ -198,25 +241,23 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
     grams = B.Scale(B.Scale.of(n_bytes / 12, 0).buckets, B.Scale.of(n_bytes / 8, GRAM_BITS).bits)
     few = B.Scale(max(1, grams.buckets // 4), grams.bits)
 
-    def once(asked: DataFrame, number: int) -> DataFrame:
-        return B.placed_answers(B.totals(asked).withColumn("question", F.lit(number)), table)
+    def once(asked: DataFrame, number: int, before: DataFrame | None = None) -> DataFrame:
+        return B.placed_answers(B.totals(asked).withColumn("question", F.lit(number)), table, before)
 
     # Every answer is moved once, to the bucket of the block that asked; later rounds read it in place.
-    answers = [
-        once(B.ask(table, words_scale, lambda p: _Tokens(p).words()), 0),
-        once(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked()), 1),
-    ]
-    sums = [B.unpack(r[0]) for r in answers[0].where("block < 0").select("payload").toLocalIterator()]
+    answers = once(B.ask(table, words_scale, lambda p: _Tokens(p).words()), 0)
+    sums = [B.unpack(r[0]) for r in answers.where("block < 0").select("payload").toLocalIterator()]
     stats = (float(sum(s[1][0] for s in sums)), float(sum(s[0][0] for s in sums)))
+    answers = once(B.ask(table, grams, lambda p: pairs(_Tokens(p)).asked()), 1, answers)
 
     def asks(level: int):
         """Divergence sums of this level, and counts of the next, which need no more."""
 
         def run(block: int, payload: bytes, told: pa.Table) -> pa.Table:
-            levels = _levels(_Tokens(payload), told, stats, min(level + 1, depth), tests)[0]
-            rows = [(2 * level, few, levels[level - 1].gains(tests))]
+            levels, _, prob = _levels(_Tokens(payload), told, stats, min(level + 1, depth), tests)
+            rows = [(2 * level, few, own.gains(tests, prob)) for own in levels[level - 1 : level]]  # none: texts without a word
             if level < depth:
-                rows.append((2 * level + 1, grams, levels[level].asked()))
+                rows += [(2 * level + 1, grams, own.asked()) for own in levels[level : level + 1]]
             return _asked(block, rows)
 
         return run
@@ -226,17 +267,15 @@ def score(docs: DataFrame, learn: Column, depth: int = 2, tests: Tests = Tests()
 
     for level in range(1, depth + 1):
         told = B.totals(B.tell_placed(table, answers, asks(level), _ASKS), ("question", "bucket"), {2 * level: grown})
-        answers.append(B.placed_answers(told, table))
+        answers = B.placed_answers(told, table, answers)
 
     def final(block: int, payload: bytes, told: pa.Table) -> pa.Table:
         t = _Tokens(payload)
-        _, count, prob = _levels(t, told, stats, depth, tests)
-        base = np.log10((count[t.token] + 0.1) / (stats[0] + 0.1 * (stats[1] + 1)))
-        add = lambda x: np.add.reduceat(x, t.start) if len(t.start) else np.zeros(0)
+        n_known, base, own = _sums(t, told, stats, depth, tests)
         return pa.table({
             "doc_id": pa.array(t.ids, pa.int64()), "held_out": pa.array(~t.learn), "n_tokens": pa.array(t.size, pa.int64()),
-            "n_known": pa.array(add((count[t.token] > 0).astype(np.int64)).astype(np.int64), pa.int64()), "train_tokens": pa.array(np.full(len(t.ids), int(stats[0])), pa.int64()),
-            "base_score": pa.array(add(base).astype(np.float64)), "score": pa.array(add(np.log10(prob)).astype(np.float64)),
+            "n_known": pa.array(n_known.astype(np.int64)), "train_tokens": pa.array(np.full(len(t.ids), int(stats[0])), pa.int64()),
+            "base_score": pa.array(base.astype(np.float64)), "score": pa.array(own.astype(np.float64)),
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -57,20 +57,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+def stored_by(df: DataFrame, name: str, key: str, buckets: int, into: DataFrame | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder in buckets of ``key``: later groupings by the key read it in place.
 
     The table's name is in the session's catalog until the program ends, when it is dropped; its files are where
-    ``stored`` puts them.
+    ``stored`` puts them. ``into``: what this returned before; the rows are added to its table, and all are returned.
     """
     spark = df.sparkSession
-    table = f"wellspring_{name}_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark)}/wellspring/{table}"
-    dealt = df.repartition(buckets, key)
-    dealt.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table, format="parquet")
-    atexit.register(_remove_quietly, spark, path, table)
+    dealt = df.repartition(buckets, key).write.option("compression", "zstd").bucketBy(buckets, key)
+    if into is None:
+        table = f"wellspring_{name}_{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark)}/wellspring/{table}"
+        dealt.option("path", path).saveAsTable(table, format="parquet")
+        atexit.register(_remove_quietly, spark, path, table)
+    else:
+        table, path = into.stored_as, into.stored_at
+        dealt.saveAsTable(table, format="parquet", mode="append")
     out = spark.read.table(table)
-    out.stored_at = path
+    out.stored_as, out.stored_at = table, path
     return out
 
 
