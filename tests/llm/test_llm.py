@@ -68,6 +68,70 @@ def test_bpe_matches_the_tokenizers_library(spark, docs):
     assert bpe.encode(empty(spark), path).count() == 0
 
 
+class Counted(dict):
+    """A dictionary that counts how often it is asked."""
+
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def bpe_words(n, seed):
+    rnd = random.Random(seed)
+    parts = "th er ion qu ñé ció sch ung 的 x zz ! ?! 1 27 -".split()
+    return {" " + "".join(rnd.choice(parts) for _ in range(rnd.randint(2, 7))) for _ in range(n)}
+
+
+def test_bpe_asks_little_for_each_new_word():
+    """Tokens are tried only at the prefixes that an encoding needs, and once for those that batches share."""
+    vocab = bpe.Vocabulary(bpe._spec(queries.tokenizer_path()))
+    vocab.whole = Counted(vocab.whole)
+    batches = [bpe_words(1500, 1), bpe_words(1500, 1), bpe_words(1500, 2)]
+    for words in batches:
+        vocab.encode_words(words)
+    prefixes = {raw[:n] for words in batches for raw in map(str.encode, words) for n in range(1, len(raw) + 1)}
+    assert vocab.whole.asked < 2 * len(prefixes)
+
+
+def test_bpe_encodes_alike_whatever_the_trie_keeps():
+    from tokenizers import Tokenizer
+
+    t, spec = Tokenizer.from_file(queries.tokenizer_path()), bpe._spec(queries.tokenizer_path())
+    words = bpe_words(400, 3) | {" " + "ab" * n for n in (31, 32, 33, 3000)} | {"a" * n for n in range(1, 70)}
+    pieces = {w for x in words for w in bpe._splitter()(x)}
+    for nodes in (0, 50, 10**9):
+        vocab = bpe.Vocabulary(spec)
+        for batch in (sorted(pieces)[::2], sorted(pieces)):
+            got = vocab.encode_words(set(batch), nodes)
+            assert {w: np.frombuffer(x, "<u4").tolist() for w, x in got.items()} == {w: t.encode(w, add_special_tokens=False).ids for w in batch}
+
+
+def test_bpe_borders_are_those_of_the_merges():
+    vocab = bpe.Vocabulary(bpe._spec(queries.tokenizer_path()))
+    rnd, whole = random.Random(5), vocab.whole
+    cut = [(t[:k], t[k:]) for t in rnd.sample(sorted(whole), 1500) for k in range(1, len(t))]
+    short = [t for t in whole if len(t) < 4]
+    pairs = [(whole[x], whole[y]) for x, y in cut if x in whole and y in whole] + [(whole[rnd.choice(short)], whole[rnd.choice(short)]) for _ in range(3000)] + [(whole[t], whole[t]) for t in short[:1000]]
+    want = [vocab.merged(vocab.bytes_of[a] + vocab.bytes_of[b]) == [a, b] for a, b in pairs]
+    assert vocab.rising and [vocab.follows(a, b) for a, b in pairs] == want and 0 < sum(want) < len(want)
+
+
+def test_bpe_with_merges_that_rank_before_their_parts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tokens = [*bpe.byte_spelling(), "ab", "abc", "bc", "ca", "caa", "bb", "aa"]
+    merges = [("ab", "c"), ("ca", "a"), ("b", "c"), ("a", "b"), ("c", "a"), ("b", "b"), ("a", "a")]
+    t = Tokenizer(models.BPE({x: i for i, x in enumerate(tokens)}, merges))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    t.save(path := str(tmp_path / "t.json"))
+    vocab, rnd = bpe.Vocabulary(bpe._spec(path)), random.Random(6)
+    words = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 12))) for _ in range(2000)}
+    assert not vocab.rising
+    assert {w: np.frombuffer(x, "<u4").tolist() for w, x in vocab.encode_words(words).items()} == {w: t.encode(w).ids for w in words}
+
+
 def test_top_k_is_exact_with_ties_and_bad_vectors(spark):
     rnd = np.random.default_rng(0)
     good = [(i, rnd.integers(-3, 4, 8).astype(float).tolist()) for i in range(400)]

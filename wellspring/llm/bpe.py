@@ -2,16 +2,17 @@
 
 The encoding of a word is a chain of last tokens: the last token of the encoding of any prefix, preceded by the
 encoding of what is left of the prefix. So one token per prefix describes all encodings, and words that share a prefix
-share it. The distinct words of a batch go into a trie; a depth-first walk hands each node the last tokens of its
-ancestors, and the node's own last token is the one vocabulary entry that ends there and that the merges would put
-after the last token of the node where it starts.
+share it. The distinct words go into a trie that a worker keeps between batches. A node's last token is the one
+vocabulary entry that ends there and that the merges would put after the last token of the ancestor where it starts; it
+is found, and those of the ancestors that it needs, when first asked for.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,10 +35,13 @@ WORDS = word_pattern(r"\p{L}", r"\p{N}", _SPACE)
 #: The same for texts below U+0250, where the classes are short and the standard library's engine is twice as fast.
 LATIN_WORDS = word_pattern(r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0")
 BEYOND_LATIN = "[ɐ-\U0010ffff]"
-#: Encodings a worker keeps between batches, the longest in bytes, and token pairs; beyond it a memory is emptied.
-KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS = 400_000, 64, 300_000
-#: Rows and bytes of text that are Python objects at a time (one text at least), and the words of one trie.
-ROWS, TEXT_BYTES, TRIE_WORDS = 256, 1 << 20, 10_000
+#: Encodings a worker keeps between batches, the longest in bytes, token pairs, and nodes of the trie; beyond it a
+#: memory is emptied.
+KEPT_WORDS, KEPT_BYTES, KEPT_PAIRS, KEPT_NODES = 400_000, 64, 300_000, 150_000
+#: Rows and bytes of text that are Python objects at a time (one text at least), and the last bytes that name the sizes
+#: of the tokens worth trying.
+ROWS, TEXT_BYTES, END = 256, 1 << 20, 4
+SHORT = tuple(range(END - 1, 0, -1))
 
 
 def byte_spelling() -> dict[str, int]:
@@ -48,109 +52,147 @@ def byte_spelling() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens and merge ranks of one tokenizer file, and the memo of which tokens may stand side by side."""
+    """Tokens and merges of one tokenizer file, and a worker's memories: the trie, token pairs, encodings."""
 
     def __init__(self, spec: str):
         model = json.loads(spec)
         spell = byte_spelling()
         raw = lambda s: bytes(spell[c] for c in s)
         self.id_of = {raw(t): i for t, i in model["model"]["vocab"].items()}
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
-        self.rank = {(raw(a), raw(b)): r for r, (a, b) in enumerate(pairs)}
         self.bytes_of = {i: t for t, i in self.id_of.items()}
         self.special = {x["content"]: x["id"] for x in model.get("added_tokens", [])}
         self.spelt = self.bytes_of | {i: s.encode() for s, i in self.special.items()}
-        self.longest = max(map(len, self.id_of))
-        # Only tokens that encode to themselves can end an encoding.
-        self.whole = {t: i for t, i in self.id_of.items() if self.merged(t) == [t]}
-        # Lengths of the tokens that end in some three bytes, longest first: the only ones worth trying there.
+        # Merges by the pair, whose ids make one number: their rank, and by rank what they give.
+        self.rank: dict[int, int] = {}
+        self.gives: list[int] = []
+        for m in model["model"]["merges"]:
+            x, y = map(raw, m.split(" ") if isinstance(m, str) else m)
+            self.rank[self.id_of[x] << 32 | self.id_of[y]] = len(self.gives)
+            self.gives.append(self.id_of[x + y])
+        # Only tokens that encode to themselves can end an encoding; the last merge of each is the one that makes it.
+        self.made: dict[int, tuple[int, int, int]] = {}
+        self.whole = {t: i for t, i in self.id_of.items() if self.merged(t, self.made) == [i]}
+        made = {i: self.made[i][0] if i in self.made else -1 for i in self.whole.values()}
+        self.rising = all(r > max(made.get(pair >> 32, -1), made.get(pair & 0xFFFFFFFF, -1)) for pair, r in self.rank.items())
+        # Lengths of the tokens that end in some bytes, longest first: the only ones worth trying there.
         sizes: dict[bytes, set[int]] = {}
         for t in self.whole:
-            sizes.setdefault(t[-3:], set()).add(len(t))
-        self.sizes = {end: sorted(own, reverse=True) for end, own in sizes.items()}
+            if len(t) >= END:
+                sizes.setdefault(t[-END:], set()).add(len(t))
+        short = lambda end: {n for n in range(1, END) if end[-n:] in self.whole}
+        same: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self.sizes = {end: same.setdefault(own, own) for end, more in sizes.items() for own in [tuple(sorted(more | short(end), reverse=True))]}
         self.beside: dict[int, bool] = {}
         self.kept: dict[str, bytes] = {}
+        self.forget()
 
-    def merged(self, word: bytes) -> list[bytes]:
-        """The merges, applied lowest rank and leftmost first; used on single tokens and pairs only."""
-        parts = [word[i : i + 1] for i in range(len(word))]
+    def forget(self) -> None:
+        """Empty the trie. The root is node 0, a node's child by a byte is at ``byte << 40 | node``; -1: not asked for yet."""
+        self.child: dict[int, int] = {}
+        self.last = [-1]
+
+    def merged(self, word: bytes, made: dict[int, tuple[int, int, int]] | None = None) -> list[int]:
+        """The merges, applied lowest rank and leftmost first; used on single tokens and pairs only.
+
+        ``made`` gets rank, left and right of the last merge, if one token is left.
+        """
+        parts, none, last = [self.id_of.get(word[i : i + 1], -1) for i in range(len(word))], len(self.gives), None
         while len(parts) > 1:
-            r, i = min((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:])))
-            if r == 1 << 60:
+            ranks = [self.rank.get(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
+            if (r := min(ranks)) == none:
                 break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            i = ranks.index(r)
+            last = (r, *parts[i : i + 2])
+            parts[i : i + 2] = [self.gives[r]]
+        if made is not None and last and len(parts) == 1:
+            made[parts[0]] = last
         return parts
 
     def follows(self, a: int, b: int) -> bool:
         """Whether the merges leave a border between tokens a and b."""
         if (known := self.beside.get(a << 32 | b)) is None:
-            x, y = self.bytes_of[a], self.bytes_of[b]
             if len(self.beside) >= KEPT_PAIRS:
                 self.beside.clear()
-            known = self.beside[a << 32 | b] = self.merged(x + y) == [x, y]
+            known = self._apart(a, b) if self.rising else self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            self.beside[a << 32 | b] = known
         return known
 
-    def ids(self, ends: list[int]) -> list[int]:
-        out, at = [], len(ends) - 1
+    def _apart(self, a: int, b: int) -> bool:
+        """``follows`` where each merge ranks after those that made its parts, so that merges are applied by rising rank.
+
+        Until the border goes, each side merges as it would alone. What stands left of the border is in turn a's last
+        byte, ..., the right part of a's last merge, a, each until the merge that takes it up; the other side likewise.
+        The border goes if a pair that stands there has a merge before either part is taken up (of equal merges the
+        left one is first).
+        """
+        rank, made, none = self.rank, self.made, len(self.gives)
+        rights, until = [(b, none)], made.get(b)
+        while until:
+            rights.append((until[1], until[0]))
+            until = made.get(until[1])
+        left, end = a, none
+        while True:
+            for right, stop in rights:
+                r = rank.get(left << 32 | right)
+                if r is not None and r < end and r <= stop:
+                    return False
+            if (until := made.get(left)) is None:
+                return True
+            end, left = until[0], until[2]
+
+    def encode_words(self, words: set[str], nodes: int = KEPT_NODES) -> dict[str, bytes]:
+        """Packed ids of each word. Neighbours in order share most of their way down the trie."""
+        return {word: pack(self._ids(word.encode(), nodes)) for word in sorted(words)}
+
+    def _ids(self, raw: bytes, nodes: int) -> list[int]:
+        """From the last token backwards; the trie grows by the nodes that the word lacks."""
+        if len(raw) > KEPT_BYTES:  # a path of its own, not kept and filled from its beginning
+            path, last = range(len(raw) + 1), [-1] * (len(raw) + 1)
+            for n in range(1, len(raw) + 1):
+                self._at(raw, path, last, n)
+        else:
+            if len(self.last) > nodes:
+                self.forget()
+            child, last, node, path = self.child, self.last, 0, [0]
+            for byte in raw:
+                key = byte << 40 | node
+                if (below := child.get(key)) is None:
+                    child[key] = below = len(last)
+                    last.append(-1)
+                node = below
+                path.append(node)
+        out, at = [], len(raw)
         while at:
-            out.append(ends[at])
-            at -= len(self.bytes_of[ends[at]])
-        return out[::-1]
-
-    def encode_words(self, words: set[str]) -> dict[str, bytes]:
-        """Packed ids of each word, through tries of so many neighbours in order that their memory is bounded."""
-        rising = sorted(words)
-        out: dict[str, bytes] = {}
-        for i in range(0, len(rising), TRIE_WORDS):
-            out |= self._encode_trie(rising[i : i + TRIE_WORDS])
+            end = last[path[at]]
+            out.append(end if end >= 0 else self._at(raw, path, last, at))
+            at -= len(self.bytes_of[out[-1]])
+        out.reverse()
         return out
 
-    def _encode_trie(self, words: list[str]) -> dict[str, bytes]:
-        """A trie of the words, walked depth first with the last tokens along the path."""
-        out: dict[str, bytes] = {}
-        root: dict = {}
-        for word in words:
-            raw = word.encode()
-            if len(raw) > KEPT_BYTES:  # a path of its own, walked without nodes
-                ends = [-1]
-                for i in range(1, len(raw) + 1):
-                    tail = max(0, i - self.longest)
-                    ends.append(self._at(raw[tail:i], ends, i))
-                out[word] = pack(self.ids(ends))
-                continue
-            node = root
-            for byte in raw:
-                node = node.setdefault(byte, {})
-            node[-1] = word
-        path, ends = bytearray(), [-1]
-        stack = [(0, -1, root)]
-        while stack:
-            depth, byte, node = stack.pop()
-            if depth:
-                del path[depth - 1 :], ends[depth:]
-                path.append(byte)
-                ends.append(self._at(bytes(path[-self.longest :]), ends, depth))
-            if -1 in node:
-                out[node[-1]] = pack(self.ids(ends))
-            stack += [(depth + 1, b, child) for b, child in node.items() if b != -1]
-        return out
+    def _at(self, raw: bytes, path: Sequence[int], last: list[int], n: int) -> int:
+        """The last token of the first n bytes of ``raw``, found once for the node at ``path[n]``.
 
-    def _at(self, tail: bytes, ends: list[int], n: int) -> int:
-        """The last token of a prefix of n bytes that ends in ``tail``; ``ends[i]`` is that of its first i bytes."""
-        whole, have = self.whole, len(tail)
-        for end in (tail[-3:], tail[-2:], tail[-1:])[max(0, 3 - have) :]:
-            for size in self.sizes.get(end, ()):
-                if size > have or len(end) < 3 and size != len(end):
+        Only one token can be it, so the order in which they are tried is free.
+        """
+        whole, beside = self.whole, self.beside
+        for size in self.sizes.get(raw[n - END : n], SHORT) if n >= END else SHORT[END - 1 - n :]:
+            if size > n or (token := whole.get(raw[n - size : n])) is None:
+                continue
+            if size < n:
+                before = last[path[n - size]]
+                if before < 0:
+                    before = self._at(raw, path, last, n - size)
+                fits = beside.get(before << 32 | token)
+                if not (self.follows(before, token) if fits is None else fits):
                     continue
-                token = whole.get(tail[have - size :])
-                if token is not None and (size == n or self.follows(ends[n - size], token)):
-                    return token
+            last[path[n]] = token
+            return token
         raise ValueError("the vocabulary lacks a byte")
 
 
 def pack(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _vocabularies: dict[int, Vocabulary] = {}
