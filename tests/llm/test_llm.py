@@ -300,6 +300,54 @@ def test_repeats_are_removed(spark, docs):
     assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+def test_cut_memory_of_a_block():
+    """What lies under stretches takes little but a byte for each byte of the block; windows are compared a megabyte at a time."""
+    rnd = np.random.default_rng(7)
+    for size in [1, 2, 40, 3000] * 20:
+        first = rnd.integers(0, size, rnd.integers(0, 30))
+        past = np.minimum(first + rnd.integers(1, 20, len(first)), size)
+        want = np.zeros(size, bool)
+        for a, b in zip(first, past):
+            want[a:b] = True
+        assert np.array_equal(suffix_dedup.covered(first, past, size), want)
+    n, starts = 60_000, np.arange(0, (1 << 23) - 200, 1000)
+    pool, place, none = np.arange(400, dtype=np.uint32).astype(np.uint8), np.full(n, 60), np.zeros(n - 1, np.int32)
+    tracemalloc.start()
+    try:
+        suffix_dedup.covered(starts, starts + 150, 1 << 23)
+        cut = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        equal = suffix_dedup._equal(np.arange(1, n, dtype=np.int32), none, none.astype(np.uint8), place, pool, 100)
+        compared = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert equal and cut < 12e6 and compared < 30e6
+
+
+def test_steps_of_other_operators_empty_the_vocabulary(spark, docs):
+    """A reused worker doesn't hold the tokenizer while it finds languages or packs or asks for blocks."""
+    path, many, b = queries.tokenizer_path(), docs.repartition(64), pst.B
+    model = langid.Model(["the of and", "der und die"], ["en", "de"])
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe._vocabularies)], pa.int64())], names=["n"])
+
+    def holding():  # workers take turns, so that so many tasks meet all of them
+        return sum(r.n for r in spark.range(64).repartition(64).mapInArrow(held, "n long").collect())
+
+    keys = lambda payload: (np.zeros(1, np.uint64), np.ones(1, np.uint32))
+    for step in (
+        lambda: langid.predict(many, model).agg(F.count("score")).first(),
+        lambda: b.blocks(many, "doc_id", "text").count(),
+        lambda: b.ask(spark.range(64).repartition(64).selectExpr("id block", "X'00' payload"), b.Scale(1, 8), keys).count(),
+    ):
+        bpe.encode(many, path).agg(F.sum("n_tokens")).first()
+        assert holding()
+        step()
+        assert not holding()
+
+
 def test_mixture_meets_targets(docs):
     rows = mixing.mix(docs).collect()
     sizes, taken = {}, {}

@@ -36,11 +36,23 @@ NO_SIZE = 1 << 56
 _HEAD = struct.Struct("<cBBQQ")
 
 
-def trim() -> None:
-    """Give back what earlier steps of a reused worker have freed but still hold."""
+#: What operators keep in a reused worker between tasks, by name.
+_memories: dict[str, dict] = {}
+
+
+def kept(name: str) -> dict:
+    """A memory that outlives a task, until a step of another operator begins in the worker."""
+    return _memories.setdefault(name, {})
+
+
+def trim(own: str = "") -> None:
+    """Give back what earlier steps of a reused worker have freed but still hold, and empty all memories but ``own``."""
     import ctypes
     import gc
 
+    for name, memory in _memories.items():
+        if name != own:
+            memory.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
@@ -124,6 +136,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, make: Callable[..., byte
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         first, seq, held, ids, texts, rest = TaskContext.get().partitionId() << 24, 0, 0, [], [], []
 
         def done() -> pa.RecordBatch:
@@ -214,6 +227,7 @@ def ask(table: DataFrame, scale: Scale, keys_of: Callable[[bytes], Asked]) -> Da
     """Each block's question. Rows (bucket, block, payload)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 yield asked_rows(block, scale, *keys_of(payload.as_py()))

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .blocks import trim
+from .blocks import kept, trim
 
 #: How byte-level BPE vocabularies spell a byte, and where they cut text into words. White space is
 #: spelt out as Unicode's property, which a regular expression library may extend by control characters.
@@ -195,11 +195,12 @@ def pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_vocabularies: dict[int, Vocabulary] = {}
+MEMORY = "vocabulary"
+_vocabularies: dict[int, Vocabulary] = kept(MEMORY)
 
 
 def _vocabulary(spec: str) -> Vocabulary:
-    """One per worker; a worker that gets another file forgets the last."""
+    """One per worker; a worker that gets another file, or a step of another operator, forgets the last."""
     key = hash(spec)
     if key not in _vocabularies:
         _vocabularies.clear()
@@ -257,7 +258,7 @@ def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def _encoder(spec: str, text_col: str, verify: bool, kept_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
+        trim(MEMORY)
         vocab, words_of = _vocabulary(spec), _splitter()
         cut = re.compile("|".join(map(re.escape, sorted(vocab.special, key=len, reverse=True)))) if vocab.special else None
         for batch in batches:
@@ -268,7 +269,7 @@ def _encoder(spec: str, text_col: str, verify: bool, kept_words: int):
                 if verify:
                     more["round_trip"] = pa.array([_decode(p, vocab.spelt) == t for p, t in zip(packed, texts)])
                 yield pa.RecordBatch.from_arrays([*rows.columns, *more.values()], names=[*rows.schema.names, *more])
-        trim()
+        trim(MEMORY)
 
     return run
 

@@ -179,6 +179,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        trim()
         scorer = Scorer(sent.value)
         for batch in batches:
             parts = [scorer.predict([t or "" for t in batch.iloc[i : i + 256]]) for i in range(0, len(batch), 256)]

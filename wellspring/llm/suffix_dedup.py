@@ -26,8 +26,9 @@ from . import blocks as B
 from .shared import release, stored
 
 GRAM, CHUNK = 32, 1 << 19
-#: Samples whose windows are named at a time; a rank that more of them share is named at once.
-SLICE = 1 << 16
+#: Samples whose windows are named at a time; a rank that more of them share is named at once. Bytes that are held
+#: against each other at a time, about.
+SLICE, COMPARED = 1 << 16, 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _NAMES = np.random.default_rng(3).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,7 +134,7 @@ def _equal(own: np.ndarray, first: np.ndarray, offset: np.ndarray, left: np.ndar
     last = np.concatenate([head[1:], [len(o)]]) - 1
     size = length + d[last] - d[head]
     a, b = left[o[head]] - d[last], left[f[head]] - d[last]
-    step = max(1, (1 << 22) // (length + 256))
+    step = max(1, COMPARED // (length + 256))
     for i in range(0, len(head), step):
         n = size[i : i + step]
         within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
@@ -211,6 +212,20 @@ def runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[head].astype(np.uint64), np.diff(np.concatenate([head, [len(starts)]])).astype(np.uint64)
 
 
+def covered(first: np.ndarray, past: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` bytes lie in a stretch from ``first`` to before ``past``; stretches may overlap.
+
+    A byte each and little else, where counts of the stretches over each byte would take eight.
+    """
+    if len(first) == 0:
+        return np.zeros(size, bool)
+    first, past = np.sort(first), np.sort(past)
+    apart = first[1:] > past[:-1]  # all that began before have ended
+    begin, end = first[np.concatenate([[True], apart])], past[np.concatenate([apart, [True]])]
+    edges = np.concatenate([[0], np.stack([begin, end], 1).ravel(), [size]])
+    return np.repeat(np.arange(len(edges) - 1) % 2 == 1, np.diff(edges))
+
+
 _ROWS = "kind int, bucket int, block long, payload binary"
 
 
@@ -292,12 +307,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
     def cut_out(block: int, payload: bytes, answers: pa.Table) -> pa.Table:
         b = B.unpack_texts(payload)
-        gone = np.zeros(len(b.data) + length + 1, np.int32)
-        for p in answers.column("payload").to_pylist():
-            first, n = (x.astype(np.int64) for x in B.unpack(p, rising=True))
-            np.add.at(gone, first, 1)
-            np.add.at(gone, first + n - 1 + length, -1)
-        gone = np.cumsum(gone, dtype=np.int32)[: len(b.data)] > 0
+        told = [x.astype(np.int64) for p in answers.column("payload").to_pylist() for x in B.unpack(p, rising=True)]
+        first, n = (np.concatenate([np.zeros(0, np.int64), *told[i::2]]) for i in (0, 1))
+        gone = covered(first, first + n - 1 + length, len(b.data))
         least: dict[bytes, int] = {}
         for i, text in zip(b.ids.tolist(), b):
             least[text] = min(i, least.get(text, i))
